@@ -1,9 +1,12 @@
 """Shared helpers: scratch tables in the cluster's shared folder, and Arrow kernels."""
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +36,20 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, where their import path does not have it already."""
+    root = str(Path(__file__).resolve().parents[2])
+    app = spark.sparkContext.applicationId
+    if app in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root:
+        return
+    _shipped.add(app)
+    where = shutil.make_archive(f"{tempfile.mkdtemp()}/gridloom", "zip", root, "gridloom")
+    spark.sparkContext.addPyFile(where)
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
@@ -44,6 +61,7 @@ def text_or_empty(col: str | Column = "text") -> Column:
 def map_batches(df: DataFrame, kernel: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """Run kernel() once per task; the callable it gives turns each Arrow batch into output columns."""
     small_batches(df.sparkSession)
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = kernel()

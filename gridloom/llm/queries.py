@@ -1,24 +1,61 @@
-"""Queries op1..op10 and pipeline over the synthetic tables, and their DuckDB SQL where SQL can express them."""
+"""Queries op1..op10 over the synthetic tables, and their DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import bpe, exact, linededup, packing, pii, quality, simhash, tokencount, toxicity, urlfilter
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.report(_table(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(_table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.report(_documents(spark, sf_dir))
+    return simhash.report(_table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.report(spark, _table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_simhash,)}
+    found = (op1_pii, op2_exact_dedup, op3_packing, op4_line_dedup, op5_quality, op6_byte_bpe, op7_token_counts, op8_simhash, op9_toxicity, op10_url_filter)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_exact_dedup": exact.ORACLE_SQL, "op4_line_dedup": linededup.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}
