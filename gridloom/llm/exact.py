@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import materialize, same_columns, scratch_path, text_or_empty
 
@@ -18,6 +19,8 @@ SPACES = r"[\x20\x09-\x0D]+"
 FILTER_LIMIT = 500_000
 #: Rows of one digest that share a copy of the keeper's text in the verification join.
 MEMBERS_PER_SALT = 128
+#: Digests at most that count as hot.
+HOT_GROUPS = 10_000
 
 
 def normalised(text: Column) -> Column:
@@ -36,17 +39,19 @@ class DigestIndex:
         self.spark = spark
         self.path = path or scratch_path(spark, "digest-index")
         self.flushed = 0
+        self.schema = None
 
     def flush(self, rows: DataFrame) -> DataFrame:
         """Write rows (doc_id, rid, digest, text) as level 0: one sorted run a task. May be called for each new batch."""
         where = f"{self.path}/level0/batch={self.flushed}"
         self.flushed += 1
+        self.schema = rows.schema
         runs = rows.sortWithinPartitions("digest")
         runs.write.options(**{"compression": "zstd", "parquet.bloom.filter.enabled#digest": "true"}).parquet(where)
         return self.spark.read.schema(rows.schema).parquet(where)
 
     def runs(self) -> DataFrame:
-        parts = [self.spark.read.parquet(f"{self.path}/level0/batch={k}") for k in range(self.flushed)]
+        parts = [self.spark.read.schema(self.schema).parquet(f"{self.path}/level0/batch={k}") for k in range(self.flushed)]
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
@@ -60,16 +65,27 @@ class DigestIndex:
         return self.spark.read.schema(merged.schema).parquet(where)
 
 
-def _verified(log: DataFrame, shared: DataFrame) -> DataFrame:
-    """For rows of digests with several rows: (rid, digest, doc_id, text, keeper, same): same bytes as the keeper."""
-    narrow = shared.select("digest", "keeper", "n")
+def _verified(log: DataFrame, shared: DataFrame, n_rows: int) -> DataFrame:
+    """For rows of digests with several rows: (rid, digest, doc_id, keeper, same, text): same bytes as the keeper.
+
+    Hot digests have more than n_rows / HOT_GROUPS rows, so there are at most HOT_GROUPS of them, whatever the input:
+    their rows are dealt over salts and meet copies of the keeper's text. In other groups the keeper sorts first.
+    """
+    many = max(MEMBERS_PER_SALT, n_rows // HOT_GROUPS)
     texts = log.select("rid", "doc_id", "digest", "text")
-    if narrow.count() <= FILTER_LIMIT:  # a filter only: the join below decides
-        texts = texts.withColumn("head", F.xxhash64("digest")).join(F.broadcast(narrow.select(F.xxhash64("digest").alias("head")).distinct()), "head", "left_semi").drop("head")
-    salts = F.ceil(F.col("n") / MEMBERS_PER_SALT).cast("int")
-    rows = texts.join(narrow, "digest").withColumn("salt", F.pmod(F.xxhash64("rid"), salts).cast("int"))
-    keepers = rows.where(F.col("rid") == F.col("keeper.rid")).select("digest", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("text").alias("keeper_text"))
-    return rows.join(keepers, ["digest", "salt"]).select("rid", "digest", "doc_id", "keeper", "text", (F.col("text") == F.col("keeper_text")).alias("same"))
+    heads = shared.select(F.xxhash64("digest").alias("head")).distinct()
+    if heads.count() <= FILTER_LIMIT:  # spares other rows the shuffle; without it they compare equal to themselves
+        texts = texts.withColumn("head", F.xxhash64("digest")).join(F.broadcast(heads), "head", "left_semi").drop("head")
+    hot = shared.where(F.col("n") > many).select("digest", "keeper", F.ceil(F.col("n") / MEMBERS_PER_SALT).cast("int").alias("salts"))
+    marked = texts.join(F.broadcast(hot), "digest", "left")
+    order = Window.partitionBy("digest").orderBy(smallest())
+    first = lambda x: F.first(x).over(order)
+    cold = marked.where("salts IS NULL").select("rid", "digest", "doc_id", first(smallest()).alias("keeper"), (F.col("text") == first("text")).alias("same"), "text")
+    dealt = marked.where("salts IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int"))
+    keepers = marked.where(F.col("salts").isNotNull() & (F.col("rid") == F.col("keeper.rid")))
+    keepers = keepers.select("digest", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("text").alias("keeper_text"))
+    warm = dealt.join(keepers, ["digest", "salt"]).select("rid", "digest", "doc_id", "keeper", (F.col("text") == F.col("keeper_text")).alias("same"), "text")
+    return cold.unionByName(warm)
 
 
 def exact_groups(docs: DataFrame, digest_bits: int = 256) -> DataFrame:
@@ -85,7 +101,7 @@ def exact_groups(docs: DataFrame, digest_bits: int = 256) -> DataFrame:
     index = DigestIndex(spark)
     log = index.flush(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"), whole.alias("text")).withColumn("digest", digest))
     level = index.compact()
-    checked = materialize(_verified(log, level.where("n > 1")).select("rid", "digest", "doc_id", "keeper", "same", F.when(~F.col("same"), F.col("text")).alias("text")), "verified")
+    checked = materialize(_verified(log, level.where("n > 1"), log.count()).select("rid", "digest", "doc_id", "keeper", "same", F.when(~F.col("same"), F.col("text")).alias("text")), "verified")
     failed = checked.where(~F.col("same"))
     if failed.isEmpty():
         sizes = level
