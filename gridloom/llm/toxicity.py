@@ -13,6 +13,7 @@ negatives nearest to positives weighing as much as all others. Copies among the
 """
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -31,13 +32,15 @@ OTHERS, EDGE = 14, 41  # codes 27 to 40 are for letters outside a-z, by code poi
 SIZE = EDGE**ORDER
 #: Bounds of what is fitted on the driver: labelled texts of each class (chosen by hash of doc_id), landmarks, negatives.
 TEXTS_PER_CLASS = 1500
-LANDMARKS = 128
+LANDMARKS = 160
+GATE = 0.45
 NEGATIVES = 20_000
 HARD = 400
 MIN_SUPPORT = 3
 MIN_EVIDENCE = 12.0
 THRESHOLD = 0.7
 CACHE_STRINGS = 500_000
+SIGNS = ".,;:!?\"'()[]{}<>*#$%&|-_+=/~`^@"  # passed over by the kernel: words that differ in them alone are one
 LETTER_RUN = re.compile(r"(?<!\S)\w(?:\s+\w){2,}(?!\S)")
 
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(a + 1, SPAN)]  # second and third letter, after the first
@@ -59,7 +62,8 @@ _LETTERS = _letter_table()
 def strings_of(text: str) -> set[str]:
     """Distinct words of a text, and its runs of three or more single letters as one string."""
     low = text.lower()
-    out = set(low.split())
+    out = {w.strip(SIGNS) for w in set(low.split())}
+    out.discard("")
     if LETTER_RUN.search(low):
         out |= {"".join(m.group().split()) for m in LETTER_RUN.finditer(low)}
     return out
@@ -101,31 +105,54 @@ def subsequences(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return key // SIZE, key % SIZE, np.bincount(where, np.concatenate(weights), len(key))
 
 
-def kernels(strings: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """(n, m) kernels of strings of at most WIDTH letters with landmarks, whose unit vectors are the columns of (SIZE, m)."""
-    out = np.zeros((len(strings), landmarks.shape[1]), np.float32)
-    for at in range(0, len(strings), 2048):
-        part = strings[at : at + 2048]
-        row, number, weight = subsequences(letter_codes(part))
-        if len(row):
-            norm = np.sqrt(np.bincount(row, np.square(weight), len(part)))
-            first = np.nonzero(np.diff(row, prepend=-1))[0]
-            sums = np.add.reduceat(landmarks[number] * (weight / norm[row]).astype(np.float32)[:, None], first, axis=0)
-            out[at + row[first]] = sums**POWER
-    return out
+@dataclass
+class Landmarks:
+    """Unit vectors of strings: place gives each subsequence's row in matrix, row 0 being that of all others."""
+
+    place: np.ndarray  # (SIZE,) int32
+    matrix: np.ndarray  # (1 + subsequences, strings) float32
+    most: np.ndarray  # greatest entry of each row over the first ``gated`` strings
 
 
-def unit_vectors(strings: list[str]) -> np.ndarray:
+def landmarks_of(strings: list[str], gated: int | None = None) -> Landmarks:
     row, number, weight = subsequences(letter_codes(strings))
     norm = np.sqrt(np.bincount(row, np.square(weight), len(strings)))
-    out = np.zeros((SIZE, len(strings)), np.float32)
-    out[number, row] = weight / norm[row]
+    found, where = np.unique(number, return_inverse=True)
+    place = np.zeros(SIZE, np.int32)
+    place[found] = np.arange(1, len(found) + 1)
+    matrix = np.zeros((len(found) + 1, len(strings)), np.float32)
+    matrix[where + 1, row] = weight / norm[row]
+    return Landmarks(place, matrix, matrix[:, : len(strings) if gated is None else gated].max(axis=1, initial=0.0))
+
+
+def kernels(strings: list[str], landmarks: Landmarks, gate: float = 0.0) -> np.ndarray:
+    """(n, m) kernels of strings of at most WIDTH letters with landmarks.
+
+    gate: strings for which a bound on the normalised kernel with every gated landmark is below it have zeros; most
+    words of any text are that far from all insults, and the bound costs one number a subsequence.
+    """
+    out = np.zeros((len(strings), landmarks.matrix.shape[1]), np.float32)
+    for at in range(0, len(strings), 2048):
+        part = strings[at : at + 2048]
+        row, number, weight = subsequences(letter_codes(part))
+        norm = np.sqrt(np.bincount(row, np.square(weight), len(part)))
+        place = landmarks.place[number]
+        bound = np.bincount(row, weight * landmarks.most[place], len(part))
+        some = np.nonzero((place > 0) & (bound >= gate * norm)[row])[0]
+        if len(some):
+            row = row[some]
+            first = np.nonzero(np.diff(row, prepend=-1))[0]
+            sums = np.add.reduceat(landmarks.matrix[place[some]] * (weight[some] / norm[row]).astype(np.float32)[:, None], first, axis=0)
+            power = sums
+            for _ in range(POWER - 1):
+                power = power * sums
+            out[at + row[first]] = power
     return out
 
 
 @dataclass
 class Model:
-    landmarks: np.ndarray  # unit vectors, (SIZE, m) float32
+    landmarks: Landmarks
     weights: np.ndarray  # of the kernels with them
     bias: float
     slope: float
@@ -136,7 +163,7 @@ class Model:
         if not strings:
             return np.zeros(0)
         parts = [windows_of(s) for s in strings]
-        out = kernels([w for p in parts for w in p], self.landmarks) @ self.weights + self.bias
+        out = kernels([w for p in parts for w in p], self.landmarks, GATE) @ self.weights + self.bias
         return np.maximum.reduceat(out, np.cumsum([0, *map(len, parts[:-1])]))
 
     def score(self, decision: np.ndarray) -> np.ndarray:
@@ -210,7 +237,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]], share: float = 0.5) -> Mod
 
     Without texts of either class every text scores the share of toxic ones.
     """
-    blank = Model(np.zeros((SIZE, 1), np.float32), np.zeros(1), 0.0, 1.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
+    blank = Model(landmarks_of(["   "]), np.zeros(1), 0.0, 1.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
     toxic, clean = [t for t in toxic if t], [t for t in clean if t]
     if not toxic or not clean:
         return blank
@@ -225,22 +252,22 @@ def fit(toxic: list[set[str]], clean: list[set[str]], share: float = 0.5) -> Mod
     negatives = sorted((s for s in good if s not in positives), key=lambda s: (-good[s], zlib.crc32(s.encode()), s))
     half = NEGATIVES // 2
     negatives = [*negatives[:half], *sorted(negatives[half:], key=lambda s: (zlib.crc32(s.encode()), s))[:half]]
-    strong = [s[:WIDTH] for s in ranked[: LANDMARKS // 3]]
-    near = kernels([s[:WIDTH] for s in plain], unit_vectors(strong)).max(axis=1)  # the clean strings nearest to strong ones
+    strong = [s[:WIDTH] for s in [*positives][: LANDMARKS * 2 // 5]]
+    near = kernels([s[:WIDTH] for s in plain], landmarks_of(strong)).max(axis=1)  # the clean strings nearest to strong ones
     hard = [plain[k] for k in np.argsort(-near, kind="stable")[:HARD].tolist()]
-    landmarks = list(dict.fromkeys([*strong, *(s[:WIDTH] for s in [*hard[: LANDMARKS // 3], *plain])]))[:LANDMARKS]
+    landmarks = list(dict.fromkeys([*strong, *(s[:WIDTH] for s in [*hard[: LANDMARKS * 2 // 5], *plain])]))[:LANDMARKS]
     negatives = list(dict.fromkeys([*hard, *negatives]))
     negatives = [s for s in negatives if s not in positives]
-    unit = unit_vectors(landmarks)
+    unit = landmarks_of(landmarks, len(strong))
     own = kernels(landmarks, unit).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    xn, cn = kernels([s[:WIDTH] for s in negatives], unit) @ root, np.sqrt([good[s] for s in negatives])
+    xn, cn = kernels([s[:WIDTH] for s in negatives], unit, GATE) @ root, np.sqrt([good[s] for s in negatives])
     close = np.isin(np.array(negatives), np.array(hard))  # near misses weigh as much as all the rest together
     for part in (close, ~close):
         cn[part] /= max(cn[part].sum(), 1e-12)
     words = sorted(positives)
-    x = np.concatenate([kernels([s[:WIDTH] for s in words], unit) @ root, xn])
+    x = np.concatenate([kernels([s[:WIDTH] for s in words], unit, GATE) @ root, xn])
     y = np.array([1.0] * len(words) + [-1.0] * len(negatives))
     cp = np.array([positives[s] for s in words], float)
     w, bias = _svm(x, y, np.concatenate([cp / cp.sum(), cn]))
@@ -279,9 +306,21 @@ def _strings_kernel_maker():
     return _strings_kernel()
 
 
+_remembered: dict[str, dict[str, float]] = {}
+
+
+def _worker_known(model: Model) -> dict[str, float]:
+    """Decisions that this worker process has made with this very model."""
+    stamp = hashlib.sha256(model.landmarks.matrix.tobytes() + model.weights.tobytes() + repr(model.bias).encode()).hexdigest()
+    if stamp not in _remembered:
+        _remembered.clear()
+        _remembered[stamp] = {}
+    return _remembered[stamp]
+
+
 def _score_kernel(model: Model, threshold: float):
     def make():
-        known: dict[str, float] = {}
+        known = _worker_known(model)
 
         def step(batch: pa.RecordBatch) -> dict:
             sets = [strings_of(t) for t in batch.column("text").to_pylist()]
