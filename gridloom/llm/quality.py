@@ -99,7 +99,7 @@ def measure(docs: DataFrame, common: dict = COMMON_WORDS, shares: dict = CHARACT
     one = base.select(
         "__row", "lang", F.expr(_words_sql(common)).alias("w"), F.expr(_lines_sql()).alias("n_dup_lines"), F.length("t").cast("long").alias("chars"),
         outside(r"[\x20\x09-\x0D]+").alias("word_chars"), outside(r"[^#*$%&|<>]+").alias("n_symbols"),
-        outside(r"\P{L}+").alias("letters"), outside(r"\P{Lu}+").alias("capitals"), outside(r"[^0-9]+").alias("digits"),
+        F.monotonically_increasing_id().alias("mark"), outside(r"\P{L}+").alias("letters"), outside(r"\P{Lu}+").alias("capitals"), outside(r"[^0-9]+").alias("digits"),
     )
     c = F.col
     rest = c("word_chars") - c("letters") - c("digits") - c("n_symbols")
@@ -111,11 +111,13 @@ def measure(docs: DataFrame, common: dict = COMMON_WORDS, shares: dict = CHARACT
     rest_bin = F.lit(1.0) - F.aggregate("bins", F.lit(0.0), lambda at, x: at + x)
     char_distance = _distance(c("classes"), _reference(shares, mean))
     word_distance = _distance(F.concat("bins", F.array(rest_bin)), _reference(words, none))
-    two = two.select("__row", c("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", c("w.repeats").alias("n_repeat_words"), "chars", char_distance.alias("char_distance"), word_distance.alias("word_distance"))
+    two = two.select("__row", c("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", c("w.repeats").alias("n_repeat_words"), "chars", "mark", char_distance.alias("char_distance"), word_distance.alias("word_distance"))
     failed = (c("n_words") < 50) | (100 * c("n_repeat_words") > 50 * c("n_words"))
     odd = ((c("chars") >= MIN_CHARACTERS) & (c("char_distance") > MAX_CHARACTER_DISTANCE)) | ((c("n_words") >= MIN_WORDS) & F.coalesce(c("word_distance") > MAX_WORD_DISTANCE, F.lit(False)))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance")
-    return two.select("__row", F.struct(*names, failed.alias("base_failed"), (~failed & ~odd).alias("kept")).alias("__q"))
+    # mark is always 0 or more; a filter that needs it can't be pushed below the counts, which would then be made again
+    kept = ~failed & ~odd & (c("mark") >= 0)
+    return two.select("__row", F.struct(*names, failed.alias("base_failed"), kept.alias("kept")).alias("__q"))
 
 
 def report(docs: DataFrame) -> DataFrame:
