@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -36,6 +37,19 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Letters and digits among the characters of PLAIN texts, on which no reading of a split pattern can differ from the
+#: library's: printable Latin up to U+017F without superscripts, fractions and dotted capital I, and ASCII white space.
+LETTERS, DIGITS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9"
+NOT_PLAIN = re.compile("[^\t-\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u017f]")
+
+
+def plain_pattern(pattern: str) -> re.Pattern:
+    """A split pattern of letter and digit properties, for PLAIN texts."""
+    own = pattern.replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}")
+    own = own.replace(r"[^\s\p{L}\p{N}]", f"[^\\s{LETTERS}{DIGITS}]").replace(r"\p{L}", f"[{LETTERS}]").replace(r"\p{N}", f"[{DIGITS}]")
+    return re.compile(own)
+
+
 _shipped: set[str] = set()
 
 
@@ -74,3 +88,29 @@ def map_batches(df: DataFrame, kernel: Callable[[], Callable[[pa.RecordBatch], d
 
 def same_columns(out: DataFrame, like: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"`{c}`") for c in like.columns])
+
+
+class Recent:
+    """What a worker has worked out for recent words: two generations, so that frequent words outlive a full memory.
+
+    Holds at most twice ``size`` words, and those of one batch besides.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.now, self.before = size, {}, {}
+
+    def ready(self, words: set, learn: Callable[[list], object]) -> dict:
+        """A dictionary that holds all of words; learn(list) gives (word, value) for those seen in neither generation."""
+        new = words.difference(self.now)
+        if len(self.now) + len(new) > self.size:
+            self.before, self.now, new = self.now, {}, words
+        now, before = self.now, self.before
+        ask = []
+        for w in new:
+            if w in before:
+                now[w] = before[w]
+            else:
+                ask.append(w)
+        if ask:
+            now.update(learn(ask))
+        return now

@@ -14,24 +14,21 @@ from math import erf, sqrt
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches, materialize, text_or_empty
+from .common import NOT_PLAIN, Recent, map_batches, materialize, plain_pattern, text_or_empty
 
 LENGTH = 4096
 END_ID = 2
 DIMENSIONS, BITS = 4, 15
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words whose ids a worker remembers; at the bound its memory starts anew.
-CACHE_WORDS = 300_000
+#: Distinct words of a generation whose ids a worker remembers.
+CACHE_WORDS = 600_000
 
 # Fixed value: the pieces between which the vocabulary's file splits texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Characters on which this reading of the pattern and the library's cannot differ; other texts go to the library whole.
-_PLAIN = regex.compile(r"[^\t-\r -~\xa1-įı-ſ]")
 
 
 def vocabulary_path(name: str) -> str:
@@ -47,29 +44,28 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.split = regex.compile(PIECES).findall
-        self.ids: dict[str, bytes] = {}
+        self.split = plain_pattern(PIECES).findall
+        self.known = Recent(CACHE_WORDS)
         if self.library.get_vocab_size() > 65536:
             raise ValueError("ids must fit 16 bits")
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.ids) + len(words) > CACHE_WORDS:
-            self.ids.clear()
-        for word, found in zip(words, self.library.encode_batch(words, add_special_tokens=False)):
-            self.ids[word] = np.array(found.ids, "<u2").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids of one text as little-endian 16-bit numbers, the end id last."""
-        if "<|" in text or _PLAIN.search(text):
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        else:
-            words = self.split(text.lower())
-            new = [w for w in set(words) if w not in self.ids]
-            if new:
-                full = len(self.ids) + len(new) > CACHE_WORDS
-                self._learn([*set(words)] if full else new)
-            ids = b"".join(map(self.ids.__getitem__, words))
-        return ids + np.array([END_ID], "<u2").tobytes()
+    def _learn(self, words: list[str]) -> list[tuple[str, bytes]]:
+        """Ids of words: the library reads them as one text, and tells which word each id is of."""
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        ids, of = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
+        ends = np.searchsorted(of, np.arange(len(words)), side="right")
+        if not len(of) or of[-1] != len(words) - 1 or (np.diff(ends, prepend=0) <= 0).any():
+            return [(w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(words, self.library.encode_batch(words, add_special_tokens=False))]
+        raw, ends = ids.tobytes(), (2 * ends).tolist()
+        return [(w, raw[a:b]) for w, a, b in zip(words, [0, *ends], ends)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 16-bit numbers, the end id last."""
+        odd = ["<|" in t or NOT_PLAIN.search(t) is not None for t in texts]
+        split = [[] if o else self.split(t.lower()) for t, o in zip(texts, odd)]
+        known, end = self.known.ready(set().union(*split), self._learn), np.array([END_ID], "<u2").tobytes()
+        whole = lambda t: np.array(self.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
+        return [(whole(t) if o else b"".join(map(known.__getitem__, w))) + end for t, w, o in zip(texts, split, odd)]
 
 
 @cache
@@ -130,7 +126,7 @@ def _encode_kernel(path: str):
         encoder, signs = worker_encoder(path), _signs()
 
         def step(batch: pa.RecordBatch) -> dict:
-            ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+            ids = encoder.encode(batch.column("text").to_pylist())
             keys = [curve_key(np.frombuffer(x, "<u2")[:-1], signs) for x in ids]
             n = [len(x) // 2 for x in ids]
             return {"rid": batch.column("rid"), "doc_id": batch.column("doc_id"), "key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64()), "ids": pa.array(ids, pa.binary())}
