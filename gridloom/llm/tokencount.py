@@ -17,18 +17,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_or_empty
+from .common import NOT_PLAIN, Recent, map_batches, plain_pattern, text_or_empty
 
 LIMIT = 1024
 VOCABULARY = "byte_bpe_50k.json"
-#: Words whose prefix counts a worker remembers, and fitting pairs; at the bound the memory starts anew.
-CACHE_WORDS = 400_000
+#: Words of a generation whose prefix counts a worker remembers, and fitting pairs (at that bound, they start anew).
+CACHE_WORDS = 600_000
 CACHE_PAIRS = 1_000_000
-#: Longer words (unbroken runs) are counted each time they come.
-CACHE_LETTERS = 64
-
-#: Characters on which this reading of the pattern and the library's cannot differ; other texts are split by the library.
-_PLAIN = regex.compile(r"[^\t-\r -~\xa1-ſ]")
 
 
 def vocabulary_path(name: str) -> str:
@@ -60,10 +55,10 @@ class PrefixCounter:
         self.whole = frozenset(t for t in (raw(x) for x in spec["model"]["vocab"] if x not in special) if self.merge([t[k : k + 1] for k in range(len(t))]) == [t])
         self.longest = max(map(len, self.whole))
         self.library = Tokenizer.from_file(path)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.split = plain_pattern(public_tokenizers.PATTERN).findall
         self.at_special = regex.compile("|".join(map(regex.escape, self.special))).split if special else lambda text: [text]
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Recent(CACHE_WORDS)
 
     def merge(self, parts: list[bytes]) -> list[bytes]:
         """Plain merging by least rank, for pairs of tokens only."""
@@ -99,23 +94,23 @@ class PrefixCounter:
                 raise ValueError("a byte is missing from the vocabulary")
         return count
 
-    def word_counts(self, word: str) -> tuple[int, ...]:
+    def _counts(self, word: str) -> bytes | tuple[int, ...]:
+        found = self.byte_counts(word.encode())
+        if not word.isascii():
+            found = [found[at] for at in accumulate((len(c.encode()) for c in word), initial=0)]
+        return bytes(found) if max(found) < 256 else tuple(found)
+
+    def _learn(self, words: list[str]) -> list[tuple[str, bytes | tuple[int, ...]]]:
+        return [(w, b"\0\1" if w in self.special else self._counts(w)) for w in words]
+
+    def word_counts(self, word: str) -> bytes | tuple[int, ...]:
         """Count at each letter prefix of a word (one pre-token), 0 first."""
-        found = self.known.get(word)
-        if found is None:
-            found = self.byte_counts(word.encode())
-            if not word.isascii():
-                found = [found[at] for at in accumulate((len(c.encode()) for c in word), initial=0)]
-            found = tuple(found)
-            if len(word) <= CACHE_LETTERS:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                self.known[word] = found
-        return found
+        found = self.known.now.get(word)
+        return self._counts(word) if found is None else found
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without special strings."""
-        if not _PLAIN.search(text):
+        if not NOT_PLAIN.search(text):
             return self.split(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
@@ -131,12 +126,11 @@ class PrefixCounter:
     def count(self, piece: str) -> int:
         return 1 if piece in self.special else self.word_counts(piece)[-1]
 
-    def total(self, text: str) -> tuple[int, list[str]]:
-        pieces, known = self.pieces(text), self.known
-        return sum((known[p] if p in known else self._last(p))[-1] for p in pieces), pieces
-
-    def _last(self, piece: str) -> tuple[int, ...]:
-        return (1,) if piece in self.special else self.word_counts(piece)
+    def totals(self, texts: list[str]) -> list[tuple[int, list[str]]]:
+        """Tokens and pieces of each text."""
+        split = [self.pieces(t) for t in texts]
+        known = self.known.ready(set().union(*split), self._learn)
+        return [(sum([known[w][-1] for w in p]), p) for p in split]
 
     def prefix_count(self, text: str, letters: int) -> int:
         """Tokens of text[:letters]: the stored counts, but for the split of the piece that the cut breaks."""
@@ -185,8 +179,8 @@ def _count_kernel(path: str, limit: int):
 
         def step(batch: pa.RecordBatch) -> dict:
             totals, fit = [], []
-            for text in batch.column("text").to_pylist():
-                n, pieces = counter.total(text)
+            whole = batch.column("text").to_pylist()
+            for text, (n, pieces) in zip(whole, counter.totals(whole)):
                 totals.append(n)
                 fit.append(len(text) if n <= limit else counter.longest_prefix(text, limit, pieces))
             return {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": pa.array(totals, pa.int64()), "fit_chars": pa.array(fit, pa.int64())}
