@@ -20,11 +20,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_or_empty
+from .common import NOT_PLAIN, Recent, map_batches, plain_pattern, text_or_empty
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Distinct words that a worker remembers (at the bound its memory starts anew), and words of one recursive query.
-CACHE_WORDS = 300_000
+#: Distinct words of a generation that a worker remembers, and bytes of one recursive query.
+CACHE_WORDS = 400_000
 QUERY_BYTES = 400_000
 #: Longer words would take a round a byte: they are contracted one by one, with a heap, to the same result.
 QUERY_WORD = 256
@@ -48,20 +48,20 @@ def merge_rows(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 ENCODE = """
-WITH RECURSIVE turn(word, pos, token, k) AS (
-    SELECT word, pos, token, 0 FROM start
-  UNION ALL
-    SELECT word, pos, new_token, k + 1 FROM (
-        SELECT word, pos, k, spot, CASE WHEN pos = spot THEN merged ELSE token END AS new_token,
-               lag(pos) OVER (PARTITION BY word ORDER BY pos) AS earlier
-        FROM (SELECT word, pos, token, k, (best & 1023)::INT AS spot, (best >> 10)::INT AS merged FROM (
-            SELECT p.word, p.pos, p.token, p.k, min(m.merged * 1024::BIGINT + p.pos) OVER (PARTITION BY p.word) AS best
-            FROM (SELECT word, pos, token, k, lead(token) OVER (PARTITION BY word ORDER BY pos) AS later FROM turn) p
-            LEFT JOIN merges m ON m.a = p.token AND m.b = p.later)
-        WHERE best IS NOT NULL))
-    WHERE earlier IS DISTINCT FROM spot)
+WITH RECURSIVE turn(word, pos, token, later, next, k) AS (
+    SELECT word, pos, token, later, next, 0 FROM start
+  UNION ALL (
+    WITH best AS (
+        SELECT t.word, min((m.merged::BIGINT << 20) | (t.pos << 10) | t.next) AS pick
+        FROM turn t JOIN merges m ON m.a = t.token AND m.b = t.later GROUP BY t.word),
+    pair AS (SELECT word, (pick >> 20)::INT AS merged, ((pick >> 10) & 1023)::INT AS spot, (pick & 1023)::INT AS gone FROM best),
+    after AS (SELECT p.word, t.later, t.next FROM pair p JOIN turn t ON t.word = p.word AND t.pos = p.gone)
+    SELECT t.word, t.pos, CASE WHEN t.pos = p.spot THEN p.merged ELSE t.token END,
+           CASE WHEN t.pos = p.spot THEN a.later WHEN t.next = p.spot THEN p.merged ELSE t.later END,
+           CASE WHEN t.pos = p.spot THEN a.next ELSE t.next END, t.k + 1
+    FROM turn t JOIN pair p ON t.word = p.word JOIN after a ON a.word = p.word WHERE t.pos <> p.gone))
 SELECT word, string_agg(token::VARCHAR, ',' ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS bytes
-FROM (SELECT * FROM turn QUALIFY k = max(k) OVER (PARTITION BY word)) JOIN tokens USING (token)
+FROM (SELECT * FROM turn SEMI JOIN (SELECT word, max(k) AS k FROM turn GROUP BY word) USING (word, k)) JOIN tokens USING (token)
 GROUP BY word ORDER BY word
 """
 
@@ -75,9 +75,8 @@ class WordTable:
         self.ranks = read_ranks(path)
         self.bytes = {r: t for t, r in self.ranks.items()}
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.split_any, self.split_plain = regex.compile(public_tokenizers.PATTERN).findall, plain_pattern(public_tokenizers.PATTERN).findall
+        self.known = Recent(CACHE_WORDS)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
         rows = merge_rows(self.ranks)
         merges = pa.table({n: rows[:, k] for k, n in enumerate(("a", "b", "merged"))})
@@ -90,11 +89,10 @@ class WordTable:
     def _query(self, words: list[bytes]) -> list[tuple[str, bytes]]:
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
-        start = pa.table({
-            "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
-            "pos": (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32),
-            "token": self.first[np.frombuffer(b"".join(words), np.uint8)],
-        })
+        token, pos = self.first[np.frombuffer(b"".join(words), np.uint8)], (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32)
+        later = np.append(token[1:], -1).astype(np.int32)
+        later[ends - 1] = -1  # a word's last token has no neighbour
+        start = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": pos, "token": token, "later": later, "next": pos + 1})
         self.db.register("start", start)
         found = self.db.execute(ENCODE).fetchall()
         self.db.unregister("start")
@@ -124,36 +122,35 @@ class WordTable:
         ids = [self.ranks[p] for p in part if p]
         return ",".join(map(str, ids)), b"".join(self.bytes[x] for x in ids)
 
-    def learn(self, words: list[str]) -> None:
-        ask: list[str] = []
+    def learn(self, words: list[str]) -> list[tuple[str, tuple[str, bytes]]]:
+        ask, out = [], []
         for word in words:
             raw = word.encode()
             if raw in self.ranks:
-                self.ids[word], self.decoded[word] = str(self.ranks[raw]), self.bytes[self.ranks[raw]]
+                out.append((word, (str(self.ranks[raw]), self.bytes[self.ranks[raw]])))
             elif len(raw) > QUERY_WORD:
-                self.ids[word], self.decoded[word] = self._long(raw)
+                out.append((word, self._long(raw)))
             else:
-                ask.append(word)
-        ask.sort(key=len)
+                ask.append((len(raw), word, raw))
+        ask.sort()
         part, size = [], 0
-        for k, word in enumerate(ask):
-            part.append(word)
-            size += len(word.encode())
+        for k, (n, word, raw) in enumerate(ask):
+            part.append((word, raw))
+            size += n
             if size >= QUERY_BYTES or k + 1 == len(ask):
-                for w, (ids, raw) in zip(part, self._query([w.encode() for w in part]), strict=True):
-                    self.ids[w], self.decoded[w] = ids, raw
+                out += zip([w for w, _ in part], self._query([r for _, r in part]), strict=True)
                 part, size = [], 0
+        return out
 
     def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
         """Ids (decimal, joined by commas) and the bytes they decode to, for each text."""
-        split = [self.split(t) for t in texts]
-        new = set().union(*split).difference(self.ids)
-        if len(self.ids) + len(new) > CACHE_WORDS:
-            self.ids.clear()
-            self.decoded.clear()
-            new = set().union(*split)
-        self.learn(list(new))
-        return [(",".join(map(self.ids.__getitem__, w)), b"".join(map(self.decoded.__getitem__, w))) for w in split]
+        split = [(self.split_any if NOT_PLAIN.search(t) else self.split_plain)(t) for t in texts]
+        known = self.known.ready(set().union(*split), self.learn)
+        out = []
+        for words in split:
+            pairs = [known[w] for w in words]
+            out.append((",".join([p[0] for p in pairs]), b"".join([p[1] for p in pairs])))
+        return out
 
 
 @cache
