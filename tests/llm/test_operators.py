@@ -105,6 +105,17 @@ def test_line_dedup(spark):
     assert out[101].text is None and out[3].n_chars == len(out[3].text)
 
 
+def test_copies_leave_one_whole_text(spark):
+    lines = [f"Sentence {k} of the story is told here once, and number {k * k} too." for k in range(30)]
+    story = "\n".join(lines)
+    near = [story.replace("Sentence 29", f"Phrase{k} 29") for k in range(6)]
+    texts = [story] * 6 + near + [f"Menu\nown page {k} with words" for k in range(40)]
+    df = spark.createDataFrame([(i, t, "host", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, df, ""), "").collect()}
+    assert out[0] == story and sum(t == story for t in out.values()) == 1
+    assert out[12] == texts[12] and out[13] == "own page 1 with words" and all(out.values())
+
+
 def _fp(t):
     import xxhash
 
