@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import linededup, packing, pii, quality, simhash
+from gridloom.llm import linededup, nearcopies, packing, pii, quality
 from gridloom.llm.common import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,8 +22,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies (0.8 of five-word shingles) stays."""
+    return nearcopies.drop_near_copies(docs)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

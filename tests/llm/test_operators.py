@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import bpe, components, exact, linededup, packing, pii, quality, simhash, tokencount, toxicity, urlfilter
+from gridloom.llm import bpe, components, exact, linededup, nearcopies, packing, pii, quality, simhash, tokencount, toxicity, urlfilter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, __row string, h string"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -176,6 +176,31 @@ def test_near_dedup_keeps_one(docs):
     assert kept.columns == docs.columns and len({r.component_id for r in out}) == kept.select("doc_id").distinct().count()
 
 
+@pytest.mark.parametrize("bucket", [32, 2])
+def test_near_copies_against_brute_force(spark, bucket):
+    rnd = random.Random(9)
+    vocab = [f"w{k}" for k in range(500)]
+    texts = [None, "", " ", "one two", "One  two"]
+    for _ in range(12):
+        base = [rnd.choice(vocab) for _ in range(rnd.randrange(60, 200))]
+        for edits in (0, 0, 1, 1, 2, 2, 3, 3, 4, 6):
+            t = list(base)
+            for _ in range(edits):
+                t[rnd.randrange(len(t))] = rnd.choice(vocab)
+            texts.append(" ".join(t))
+    sets = [nearcopies.shingles((t or "").encode()) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if nearcopies.similar(sets[i], sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in nearcopies.near_copies(df, bucket).collect()} == dict(enumerate(root))
+    if bucket == 32:
+        assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(root)
+
+
 def test_pii_spans():
     t = TEXTS[13]
     assert [(k, t[a:b]) for k, a, b in pii.base_spans(t)] == [("email", "ann.lee@mail.example.org"), ("ip", "10.20.30.40"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (555) 010-9999")]
