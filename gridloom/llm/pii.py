@@ -5,8 +5,8 @@ words around its mentions, corpus co-occurrence estimates how much a term t tell
 
     disclosure(c, t) = PMI(c; t) / IC(c) = log(N n_ct / (n_c n_t)) / log(N / n_c)
 
-with N texts, n_c and n_ct distinct contexts of c, and of c with t (copies of one passage count once), and n_t texts
-with t. 1 means that t occurs only with c. Terms above the removal threshold are removed, those above the lower one
+with N distinct texts, and n_c, n_ct and n_t those with a mention of c, with t near a mention of c, and with t anywhere:
+all four in one unit, in which copies of a text count once. 1 means that t occurs only with c. Terms above the removal threshold are removed, those above the lower one
 are generalised, where they stand near a mention of that entity. A term needs ``min_contexts`` distinct contexts, so
 that nothing rests on a single passage.
 """
@@ -109,7 +109,7 @@ def mentions(text: str, spans: list[tuple[str, int, int]], window: int = WINDOW)
     return out
 
 
-_FOUND = "rid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,context:long,term:string,start:int,end:int>>"
+_FOUND = "rid long, doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,context:long,term:string,start:int,end:int>>"
 _NEAR = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -125,7 +125,7 @@ def _find_kernel(window: int):
                 cols["near"].append([dict(zip(("entity", "context", "term", "start", "end"), x)) for x in mentions(text, spans, window)])
                 for kind in KINDS:
                     cols[kind].append(sum(k == kind for k, _, _ in spans))
-            out = {"rid": batch.column("rid"), "doc_id": batch.column("doc_id")} | {f"n_{k}": pa.array(cols[k], pa.int64()) for k in KINDS}
+            out = {k: batch.column(k) for k in ("rid", "doc_id", "text_key")} | {f"n_{k}": pa.array(cols[k], pa.int64()) for k in KINDS}
             return out | {"base_sha256": pa.array(cols["base_sha256"], pa.string()), "base": pa.array(cols["base"], pa.string()), "near": pa.array(cols["near"], _NEAR)}
 
         return step
@@ -151,10 +151,10 @@ def _counted_terms(texts: DataFrame, terms: set[str] | None) -> DataFrame:
 
 
 def disclosures(near: DataFrame, texts: DataFrame, n_texts: int, min_contexts: int = MIN_CONTEXTS, at_least: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(entity, term, disclosure) of at_least or more. near: entity, context, term; texts: text, all of the corpus."""
-    pairs = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= min_contexts)
-    pairs = materialize(pairs, "term-pairs")
-    entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= min_contexts)
+    """(entity, term, disclosure) of at_least or more. near: text_key, entity, context, term; texts: text, the distinct ones."""
+    pairs = near.groupBy("entity", "term").agg(F.countDistinct("text_key").alias("n_ct"), F.countDistinct("context").alias("contexts"))
+    pairs = materialize(pairs.where(F.col("contexts") >= min_contexts), "term-pairs")
+    entities = near.groupBy("entity").agg(F.countDistinct("text_key").alias("n_c"), F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= min_contexts).drop("contexts")
     wanted = pairs.select("term").distinct()
     n_terms = wanted.count()
     terms = {r.term for r in wanted.collect()} if n_terms <= broadcast_terms else None  # bounded by broadcast_terms
@@ -174,16 +174,17 @@ def find(docs: DataFrame, keep: list[Column] | None = None, window: int = WINDOW
     Null text counts as empty; repeated rows each get a row; a corpus of few texts has no term above min_contexts and
     so only base spans; an empty table gives an empty table; other columns are ignored.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     found = materialize(map_batches(rows, _find_kernel(window), _FOUND), "pii-found")
-    near = found.where(F.size("near") > 0).select("rid", F.explode("near").alias("x")).select("rid", "x.*")
-    told = disclosures(near.select("entity", "context", "term"), rows.select("text"), found.count(), min_contexts, generalise_at, broadcast_terms)
+    near = found.where(F.size("near") > 0).select("rid", "text_key", F.explode("near").alias("x")).select("rid", "text_key", "x.*")
+    n_texts = found.select("text_key").distinct().count()
+    told = disclosures(near.select("text_key", "entity", "context", "term"), rows.select("text").distinct(), n_texts, min_contexts, generalise_at, broadcast_terms)
     kind = F.when(F.col("disclosure") >= remove_at, F.lit(TERM_KINDS[0])).otherwise(F.lit(TERM_KINDS[1]))
     spots = near.join(told, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     order = F.when(kind == TERM_KINDS[0], 0).otherwise(1)
     listed = F.sort_array(F.collect_list(F.struct(order.alias("o"), F.col("start"), F.col("end"), kind.alias("kind"))))
     method = spots.groupBy("rid").agg(listed.alias("method"))
-    return found.drop("near").join(method, "rid", "left")
+    return found.drop("near", "text_key").join(method, "rid", "left")
 
 
 def report(docs: DataFrame) -> DataFrame:

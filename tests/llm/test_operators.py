@@ -230,6 +230,16 @@ def test_pii_disclosing_terms(spark):
     assert "Quixotic" not in clean[0] and "[EMAIL]" in clean[0] and clean[50] == texts[50]
 
 
+def test_pii_copies_change_no_disclosure(spark):
+    rnd = random.Random(3)
+    filler = lambda: " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "omega"]) for _ in range(12))
+    texts = [f"{filler()} Quixotic alpha gamma bob@corp.example.com {filler()}" for _ in range(6)] + [filler() for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    copies = df.where("doc_id < 6").crossJoin(spark.range(100).select((F.col("id") * 1000).alias("k"))).select((F.col("doc_id") + F.col("k")).alias("doc_id"), "text").unionByName(df.where("doc_id >= 6"))
+    one, many = ({r.doc_id: r.method for r in pii.find(x).where("doc_id < 6").collect()} for x in (df, copies))
+    assert one == many and all(s.kind == "term_removed" for s in one[0]) and one[0]
+
+
 def test_sanitise_keeps_rows(docs):
     out = pii.sanitise(docs)
     assert out.columns == docs.columns and out.count() == docs.count() and out.where("text is null").count() == 1
