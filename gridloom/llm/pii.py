@@ -6,9 +6,10 @@ words around its mentions, corpus co-occurrence estimates how much a term t tell
     disclosure(c, t) = PMI(c; t) / IC(c) = log(N n_ct / (n_c n_t)) / log(N / n_c)
 
 with N distinct texts, and n_c, n_ct and n_t those with a mention of c, with t near a mention of c, and with t anywhere:
-all four in one unit, in which copies of a text count once. 1 means that t occurs only with c. Terms above the removal threshold are removed, those above the lower one
-are generalised, where they stand near a mention of that entity. A term needs ``min_contexts`` distinct contexts, so
-that nothing rests on a single passage.
+all four in one unit, in which copies of a text count once. 1 means that t occurs only with c. As a share n_ct / n_t of
+few passages is weak evidence, its lower confidence bound (Wilson, one-sided 90 %) stands in for it, where the pair's
+distinct contexts are the sample: one context is enough, and copies add nothing. Terms above the removal threshold are
+removed, those above the lower one are generalised, where they stand near a mention of that entity.
 """
 from __future__ import annotations
 
@@ -26,7 +27,8 @@ from .common import map_batches, materialize, same_columns, text_or_empty
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("term_removed", "term_generalised")
 WINDOW = 8
-MIN_CONTEXTS = 3
+#: Normal quantile of the confidence bound.
+QUANTILE = 1.2816
 REMOVE_AT = 0.90
 GENERALISE_AT = 0.75
 #: Candidate terms up to which their set is sent to every task (about 16 MB); above it, all terms are counted and joined.
@@ -150,11 +152,11 @@ def _counted_terms(texts: DataFrame, terms: set[str] | None) -> DataFrame:
     return map_batches(texts, make, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
-def disclosures(near: DataFrame, texts: DataFrame, n_texts: int, min_contexts: int = MIN_CONTEXTS, at_least: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+def disclosures(near: DataFrame, texts: DataFrame, n_texts: int, quantile: float = QUANTILE, at_least: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """(entity, term, disclosure) of at_least or more. near: text_key, entity, context, term; texts: text, the distinct ones."""
     pairs = near.groupBy("entity", "term").agg(F.countDistinct("text_key").alias("n_ct"), F.countDistinct("context").alias("contexts"))
-    pairs = materialize(pairs.where(F.col("contexts") >= min_contexts), "term-pairs")
-    entities = near.groupBy("entity").agg(F.countDistinct("text_key").alias("n_c"), F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= min_contexts).drop("contexts")
+    pairs = materialize(pairs, "term-pairs")
+    entities = near.groupBy("entity").agg(F.countDistinct("text_key").alias("n_c"))
     wanted = pairs.select("term").distinct()
     n_terms = wanted.count()
     terms = {r.term for r in wanted.collect()} if n_terms <= broadcast_terms else None  # bounded by broadcast_terms
@@ -164,21 +166,23 @@ def disclosures(near: DataFrame, texts: DataFrame, n_texts: int, min_contexts: i
     total = F.greatest(F.lit(float(n_texts)), F.col("n_c"), F.col("n_t"))
     n_t = F.greatest("n_t", "n_ct")
     own = F.log2(total / F.col("n_c"))
-    ratio = F.when(own > 0, F.log2(total * F.col("n_ct") / (F.col("n_c") * n_t)) / own).otherwise(F.lit(0.0))
+    share, z2 = F.col("n_ct") / n_t, quantile * quantile
+    m = F.col("contexts") / share  # passages with t, if those near c are its contexts
+    bound = (share + z2 / (2 * m) - quantile * F.sqrt(share * (1 - share) / m + z2 / (4 * m * m))) / (1 + z2 / m)
+    ratio = F.when(own > 0, F.log2(total * bound / F.col("n_c")) / own).otherwise(F.lit(0.0))
     return both.select("entity", "term", ratio.alias("disclosure")).where(F.col("disclosure") >= at_least)
 
 
-def find(docs: DataFrame, keep: list[Column] | None = None, window: int = WINDOW, min_contexts: int = MIN_CONTEXTS, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+def find(docs: DataFrame, keep: list[Column] | None = None, window: int = WINDOW, quantile: float = QUANTILE, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """Per row of docs: rid, doc_id, base counts, base_sha256, base spans, method (array of kind, start, end).
 
-    Null text counts as empty; repeated rows each get a row; a corpus of few texts has no term above min_contexts and
-    so only base spans; an empty table gives an empty table; other columns are ignored.
+    Null text counts as empty; repeated rows each get a row; where every text has the entity, no term tells of it; an empty table gives an empty table; other columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     found = materialize(map_batches(rows, _find_kernel(window), _FOUND), "pii-found")
     near = found.where(F.size("near") > 0).select("rid", "text_key", F.explode("near").alias("x")).select("rid", "text_key", "x.*")
     n_texts = found.select("text_key").distinct().count()
-    told = disclosures(near.select("text_key", "entity", "context", "term"), rows.select("text").distinct(), n_texts, min_contexts, generalise_at, broadcast_terms)
+    told = disclosures(near.select("text_key", "entity", "context", "term"), rows.select("text").distinct(), n_texts, quantile, generalise_at, broadcast_terms)
     kind = F.when(F.col("disclosure") >= remove_at, F.lit(TERM_KINDS[0])).otherwise(F.lit(TERM_KINDS[1]))
     spots = near.join(told, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     order = F.when(kind == TERM_KINDS[0], 0).otherwise(1)

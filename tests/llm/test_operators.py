@@ -240,6 +240,14 @@ def test_pii_copies_change_no_disclosure(spark):
     assert one == many and all(s.kind == "term_removed" for s in one[0]) and one[0]
 
 
+def test_pii_one_context_is_evidence(spark):
+    common = " ".join(["alpha beta gamma delta omega"] * 2)
+    texts = [f"{common} Quixotic alpha bob@corp.example.com {common} copy {i}" for i in range(40)] + [f"{common} text {i}" for i in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.method for r in pii.find(df).where("doc_id in (0, 39, 50)").collect()}
+    assert all({texts[i][s.start : s.end] for s in out[i]} == {"Quixotic"} for i in (0, 39)) and out[50] is None
+
+
 def test_sanitise_keeps_rows(docs):
     out = pii.sanitise(docs)
     assert out.columns == docs.columns and out.count() == docs.count() and out.where("text is null").count() == 1
