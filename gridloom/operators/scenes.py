@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import pixel
+
 
 def first_per_day(granules: DataFrame, at: str = "ts", tie: str = "id") -> DataFrame:
     """The earliest granule of each UTC day: one combinable minimum a day."""
@@ -62,3 +64,21 @@ def sample_windows(windows: DataFrame, group: str, at_most: int, seed: int) -> D
     others = [c for c in windows.columns if c != group]
     order = F.xxhash64(F.lit(seed), *others)
     return windows.withColumn("__k", F.row_number().over(Window.partitionBy(group).orderBy(order, *others))).where(F.col("__k") <= at_most).drop("__k")
+
+
+def count_overlaps(boxes: DataFrame, key: str) -> DataFrame:
+    """(key, n): boxes (minx, miny, maxx, maxy) that strictly overlap the key's, itself included.
+
+    Each box goes to the cells of a grid of mean box size that it touches, 256 a side of the extent at most; a pair
+    counts in the one cell that holds the corner (greatest minx, greatest miny) of its overlap.
+    """
+    size = lambda lo, hi: F.greatest(F.avg(F.col(hi) - F.col(lo)), (F.max(hi) - F.min(lo)) / 256, F.lit(1e-9))
+    grid = boxes.agg(size("minx", "maxx").alias("w"), size("miny", "maxy").alias("h"))
+    at = lambda c, step: F.floor(F.col(c) / F.col(step))
+    dealt = boxes.crossJoin(F.broadcast(grid))  # one row
+    dealt = dealt.withColumn("cx", F.explode(F.sequence(at("minx", "w"), at("maxx", "w")))).withColumn("cy", F.explode(F.sequence(at("miny", "h"), at("maxy", "h"))))
+    sides = ("minx", "miny", "maxx", "maxy")
+    other = dealt.select("cx", "cy", *[F.col(c).alias(f"o_{c}") for c in sides])
+    meet = pixel.boxes_meet(tuple(F.col(c) for c in sides), tuple(F.col(f"o_{c}") for c in sides))
+    home = (F.floor(F.greatest("minx", "o_minx") / F.col("w")) == F.col("cx")) & (F.floor(F.greatest("miny", "o_miny") / F.col("h")) == F.col("cy"))
+    return dealt.join(other, ["cx", "cy"]).where(meet & home).groupBy(key).agg(F.count("*").alias("n"))

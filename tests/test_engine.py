@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.grid import Grid
-from gridloom.operators import calibrate, geometry, kernels, seams
+from gridloom.operators import calibrate, geometry, kernels, scenes, seams
 from gridloom.plans import catalog, survey
 from gridloom.sources import bands, tables, tiles
 from gridloom.streaming import cells as stream_cells
@@ -211,3 +211,17 @@ def test_stream_equals_batch(spark, tmp_path):
     q = stream_cells.running_cells(stream, 4).writeStream.outputMode("complete").format("memory").queryName("cells").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(spark.table("cells").collect()) == sorted(stream_cells.running_cells(rows, 4).collect())
+
+
+def test_overlaps_cross_hundreds(spark):
+    rnd = np.random.default_rng(4)
+    low = rnd.uniform(-50, 50, (260, 2))
+    high = low + rnd.uniform(0.1, 12, (260, 2))
+    rows = [(k * 7, *low[k].tolist(), *high[k].tolist()) for k in range(260)]
+    want = {a[0]: sum(a[1] < b[3] and b[1] < a[3] and a[2] < b[4] and b[2] < a[4] for b in rows) for a in rows}
+    df = spark.createDataFrame(rows, "src long, minx double, miny double, maxx double, maxy double")
+    assert {r.src: r.n for r in scenes.count_overlaps(df, "src").collect()} == want
+    got = catalog.queries()["covers"](spark, "/root/testdata/sf0.1").agg({"n": "sum"}).first()[0]
+    con = duckdb.connect()
+    boxes = "SELECT l_suppkey, min(l_partkey) - 0.25 AS x0, max(l_partkey) + 0.25 AS x1, min(l_quantity) AS y0, max(l_quantity) + 3.5 AS y1 FROM '/root/testdata/sf0.1/lineitem.parquet' GROUP BY 1"
+    assert got == con.execute(f"WITH b AS ({boxes}) SELECT count(*) FROM b, b o WHERE b.x0 < o.x1 AND o.x0 < b.x1 AND b.y0 < o.y1 AND o.y0 < b.y1").fetchone()[0]
