@@ -13,21 +13,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch sent to a Python worker; bounds a worker's memory when texts are long.
-BATCH_ROWS = 1000
+#: Rows and bytes of the parts in which kernels take Arrow batches; Spark's own batches hold 64 MB at most.
+PART_ROWS, PART_BYTES = 1250, 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; a temporary one is set only where that is unset, in local mode alone."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """All scratch tables of this application are below it."""
+    return f"{shared_dir(spark)}/gridloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/gridloom-{uuid.uuid4().hex}/{label}"
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{label}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables: results that are not written yet can't be read after it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
@@ -57,15 +70,21 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once an application, where their import path does not have it already."""
     root = str(Path(__file__).resolve().parents[2])
     app = spark.sparkContext.applicationId
-    if app in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root:
+    if app in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     _shipped.add(app)
     where = shutil.make_archive(f"{tempfile.mkdtemp()}/gridloom", "zip", root, "gridloom")
     spark.sparkContext.addPyFile(where)
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most PART_ROWS rows and PART_BYTES bytes, or of one longer row."""
+    if batch.num_rows > 1 and (batch.num_rows > PART_ROWS or batch.nbytes > PART_BYTES):
+        half = batch.num_rows // 2
+        yield from parts_of(batch.slice(0, half))
+        yield from parts_of(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
 
 
 def text_or_empty(col: str | Column = "text") -> Column:
@@ -73,15 +92,14 @@ def text_or_empty(col: str | Column = "text") -> Column:
 
 
 def map_batches(df: DataFrame, kernel: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
-    """Run kernel() once per task; the callable it gives turns each Arrow batch into output columns."""
-    small_batches(df.sparkSession)
+    """Run kernel() once per task; the callable it gives turns each part of an Arrow batch into output columns."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = kernel()
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(step(batch))
+            for part in parts_of(batch):
+                yield pa.RecordBatch.from_pydict(step(part))
 
     return df.mapInArrow(run, schema)
 

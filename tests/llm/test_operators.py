@@ -341,6 +341,21 @@ def test_url_filter(spark):
     assert sorted(r.id for r in urlfilter.filter_captures(df, listed).collect()) == [2, 3, 5, 6, 7, 8, 9]
 
 
+def test_url_filter_deep_and_hot(spark):
+    """A list entry of any depth is found; a hot (host, day) gives what a cold one gives."""
+    deep = ".".join("abcdefghijklmnop")
+    listed = spark.createDataFrame([(deep + ".com", "2024-01-01", "block"), ("com", "2024-01-05", "allow")], "pattern string, d string, action string").select("pattern", F.to_date("d").alias("entry_date"), "action")
+    caps = [(k, f"http://x{k % 3}.{deep}.com/{k % 5}", "2024-02-01", "clash", "clash", "clash") for k in range(60)] + [(100, "http://other.com", "2024-01-04", None, None, None), (101, "http://other.com", "2024-01-05", None, None, None)]
+    df = spark.createDataFrame(caps, "id long, url string, d string, host string, day string, salt string").withColumn("fetched_on", F.to_date("d"))
+    want = {k: "block" for k in range(60)} | {100: None, 101: "allow"}
+    for hot in (urlfilter.HOT_ROWS, 3):
+        got = [(r["__row"]["id"], r.action) for r in urlfilter.evaluate(df, listed, hot_rows=hot).collect()]
+        assert dict(got) == want and len(got) == len(want)
+    kept = urlfilter.filter_captures(df, listed)
+    assert kept.columns == df.columns and sorted(r.id for r in kept.collect()) == [100, 101]
+    assert urlfilter.filter_captures(df, listed.where("false")).count() == 62
+
+
 def test_pipeline_stages(spark, docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, "")
