@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, same_columns, text_or_empty
 
-MAX_RATIO = 0.005
-MIN_PAGES = 3
+MAX_RATIO = 0.01
+MIN_PAGES = 5
 #: Boilerplate lines up to which the list of lines by host is broadcast (16 bytes each, 8 MB); above it, it is joined.
 BROADCAST_LINES = 500_000
 #: Ways in which a host's pages are dealt when the list is joined.
@@ -83,9 +83,13 @@ def deduplicate(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RA
     else:
         joined = joined.withColumn("own", F.lit(None).cast("array<struct<h1:bigint,h2:bigint>>"))
     lines = F.split("t", "\n")
+    # first by a hash set, so that a page costs its lines plus its host's list; then whole keys against those found
+    found = F.array_intersect(F.transform(lines, lambda x: line_key(x)["h1"]), F.col("drop.h1"))
+    bound = F.transform(F.array(found), lambda hits: F.filter(F.col("drop"), lambda d: F.array_contains(hits, d["h1"])))  # made once a row
+    joined = joined.withColumn("drop", F.when(F.col("drop").isNotNull(), bound[0]))
     owned = lambda x: F.coalesce(F.array_contains(F.col("own"), line_key(x)), F.lit(False))
     stays = F.filter(lines, lambda x: is_blank(x) | ~F.array_contains(F.col("drop"), line_key(x)) | owned(x))
-    some = joined.withColumn("left", F.when(F.col("drop").isNull(), lines).otherwise(stays))
+    some = joined.withColumn("left", F.when(F.coalesce(F.size("drop"), F.lit(0)) <= 0, lines).otherwise(stays))
     return some.select("__row", F.array_join("left", "\n").alias("clean"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size("left")).cast("long").alias("n_dropped"))
 
 
