@@ -75,8 +75,7 @@ def test_quality_repeats_without_packing(spark):
     assert sql != slow and base.select(F.expr(sql)).collect() == base.select(F.expr(slow)).collect()
 
 
-def test_exact_dedup_and_collisions(docs, monkeypatch):
-    monkeypatch.setattr(exact, "MEMBERS_PER_SALT", 2)
+def test_exact_dedup_and_collisions(docs):
     groups = collections.defaultdict(list)
     for r in rows():
         groups[re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")].append(r[0])
@@ -84,14 +83,50 @@ def test_exact_dedup_and_collisions(docs, monkeypatch):
     for ids in groups.values():
         for i in ids:
             want[(i, min((x for x in ids if x is not None), default=None), len(ids))] += 1
-    for bits in (256, 4):
-        out = exact.exact_groups(docs, digest_bits=bits).collect()
+    plain = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
+    for bits, hot in ((256, 2), (4, 2), (4, 1000)):
+        out = exact.exact_groups(plain, digest_bits=bits, hot_rows=hot).collect()
         assert collections.Counter((r.doc_id, r.keep_id, r.group_size) for r in out) == want
     full = exact.report(docs).collect()
     assert sum(r.kept for r in full) == len(groups)
     assert {r.text_sha256 for r in full} == {hashlib.sha256(t.encode()).hexdigest() for t in groups}
     kept = exact.drop_exact_duplicates(docs)
-    assert kept.count() == len(groups) and kept.columns == docs.columns
+    assert kept.columns == docs.columns
+    firsts = {min((x for x in ids if x is not None), default=None) for ids in groups.values()}
+    assert collections.Counter(tuple(r) for r in kept.collect()) <= collections.Counter(rows()) and {r.doc_id for r in kept.collect()} == firsts and kept.count() == len(groups)
+
+
+def test_exact_dedup_with_a_hot_text(spark):
+    """A text in a third of the rows: as brute force says, dealt over salts or not."""
+    texts = ["same old text"] * 200 + [f"text {k % 150}" for k in range(400)]
+    df = spark.createDataFrame([(k * 7 % 601, t, k) for k, t in enumerate(texts)], "doc_id long, text string, rid long")
+    least = {}
+    for k, t in enumerate(texts):
+        least[t] = min(least.get(t, 10**9), k * 7 % 601)
+    for hot in (exact.HOT_ROWS, 16):
+        out = exact.exact_groups(df, hot_rows=hot).collect()
+        assert {r.rid: (r.keep_id, r.group_size) for r in out} == {k: (least[t], texts.count(t)) for k, t in enumerate(texts)} and len(out) == len(texts)
+
+
+def test_digest_index_levels_and_filters(spark):
+    """Batches go down the levels; a new batch reads only the pieces whose filters let one of its digests pass."""
+    digest = lambda k: hashlib.sha256(str(k).encode()).digest()
+    index = exact.DigestIndex(spark, 4000, memtable_rows=50, bucket_rows=64)
+    batch = lambda keys, base: spark.createDataFrame([(None if k % 9 == 0 else base + k, base + n, bytearray(digest(k))) for n, k in enumerate(keys)], "doc_id long, rid long, digest binary")
+    for n in range(5):
+        index.add(batch([*range(200 * n, 200 * n + 150)] * 2, 10_000 * (5 - n)))
+    assert [len(x) for x in index.levels] == [1, 1]  # four runs became one of the second level
+    run = index.add(batch([3, 4, 5, 9000, 9001], 0))
+    entries, answer = index.probe(run)
+    found = {bytes(r.digest): (r.doc_id, r.n) for r in entries.collect()}
+    assert found == {digest(3): (50_003, 2), digest(4): (50_004, 2), digest(5): (50_005, 2)}
+    asked = answer.collect()
+    read = sum(bool(len(r["pass"])) for r in asked)
+    pieces = sum(spark.read.parquet(p).count() for p in index.runs() if p != run)
+    assert len(asked) <= 10 and 3 <= read < len(asked) and read <= pieces // 10, (read, len(asked), pieces)
+    again = {bytes(r.digest): (r.none, r.doc_id, r.rid, r.n) for r in index.repeated().collect()}
+    assert len(again) == 750 and again[digest(3)] == (False, 3, 0, 3) and again[digest(9)] == (True, None, 50_009, 2)
+    assert len(index.runs()) == 1
 
 
 def test_line_dedup(spark):
