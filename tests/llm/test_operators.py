@@ -329,6 +329,23 @@ def test_bpe_and_counts(docs, monkeypatch):
     assert out == collections.Counter((r[0], len((r[1] or "").encode()), size(r[1] or ""), size(r[1] or "") > 1024) for r in rows())
 
 
+def test_bpe_words_of_any_length():
+    """Both queries give what the library gives, for words around and far over SHORT bytes; nothing is kept beside them."""
+    import public_tokenizers
+    import tiktoken
+
+    table = bpe.WordTable(bpe.vocabulary_path(bpe.VOCABULARY))
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table.ranks, special_tokens={})
+    rnd = random.Random(7)
+    letters = lambda n, of: "".join(rnd.choice(of) for _ in range(n))
+    words = [letters(rnd.randrange(2, 400), of) for of in ("abcdefghijklmnopqrstuvwxyz", "ab", "日本語東京都市", "eèéêtns", "the") for _ in range(40)]
+    words += ["x" * 20_000, "ab" * 3000 + "the" * 900, letters(2500, "abcdefghijklmnopqrstuvwxyz"), letters(1500, "日本語東京都市大学生活")]
+    got = dict(table.learn(words))
+    for w in words:
+        ids = coder._core_bpe.encode_single_piece(w.encode())
+        assert got[w] == (",".join(map(str, ids)), w.encode()), w[:50]
+
+
 def test_prefix_counts():
     from tokenizers import Tokenizer
 
