@@ -1,15 +1,16 @@
 """Toxicity by a support vector machine over a gap-weighted subsequence string kernel with Nyström landmarks.
 
 The kernel counts letter subsequences of length 3 that two strings share (their ends count as letters), each weighted by
-DECAY to the power of the stretch it spans (at most SPAN letters), is normalised (Lodhi et al. 2002) and raised to POWER,
-which keeps it a kernel and lets only close strings count. Signs inside a word are passed over, and gaps are allowed, so
-insults with inserted, dropped or changed characters stay near their plain form. Landmarks are strings of the labelled texts; a string's
-features are its kernel with each landmark, whitened by the inverse root of the landmarks' kernel, and a linear machine
-is trained on them.
+DECAY to the power of the stretch it spans (at most SPAN letters), and is normalised (Lodhi et al. 2002). Signs inside a
+word are passed over, and gaps are allowed, so insults with inserted, dropped or changed characters stay near their plain
+form. Landmarks are strings of the labelled texts; a string's features are its kernel with each landmark, whitened by the
+inverse root of the landmarks' kernel, and a linear machine is trained on them. As kernels are sums over subsequences, the
+trained machine is one weight a subsequence: every string's decision is computed in full, whatever the landmarks' number.
 
 Labels are per text. A text is scored by its most toxic string (word, or run of single letters). In training, strings
 with strong evidence of toxic texts are positive, strings of clean texts negative (multiple-instance training), the
-negatives nearest to positives weighing as much as all others. Copies among the labelled texts count once.
+negatives nearest to positives weighing as much as all others. Each positive string of sure evidence also stands there
+with one letter inserted or dropped at each inner place (virtual examples). Copies among the labelled texts count once.
 """
 from __future__ import annotations
 
@@ -26,18 +27,19 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, materialize, text_or_empty
 
-ORDER, SPAN, DECAY, POWER = 3, 6, 0.75, 3
+ORDER, SPAN, DECAY = 3, 7, 0.75
 WIDTH, STRIDE = 24, 12
 OTHERS, EDGE = 14, 41  # codes 27 to 40 are for letters outside a-z, by code point; EDGE is a string's end
 SIZE = EDGE**ORDER
 #: Bounds of what is fitted on the driver: labelled texts of each class (chosen by hash of doc_id), landmarks, negatives.
 TEXTS_PER_CLASS = 1500
-LANDMARKS = 160
-GATE = 0.45
+LANDMARKS = 320
 NEGATIVES = 20_000
 HARD = 400
 MIN_SUPPORT = 3
 MIN_EVIDENCE = 12.0
+#: Evidence from which a positive string stands in training with its variants too.
+SURE = 60.0
 THRESHOLD = 0.7
 CACHE_STRINGS = 500_000
 SIGNS = ".,;:!?\"'()[]{}<>*#$%&|-_+=/~`^@"  # passed over by the kernel: words that differ in them alone are one
@@ -111,10 +113,10 @@ class Landmarks:
 
     place: np.ndarray  # (SIZE,) int32
     matrix: np.ndarray  # (1 + subsequences, strings) float32
-    most: np.ndarray  # greatest entry of each row over the first ``gated`` strings
 
 
-def landmarks_of(strings: list[str], gated: int | None = None) -> Landmarks:
+def landmarks_of(strings: list[str]) -> Landmarks:
+    """strings: of at most WIDTH letters."""
     row, number, weight = subsequences(letter_codes(strings))
     norm = np.sqrt(np.bincount(row, np.square(weight), len(strings)))
     found, where = np.unique(number, return_inverse=True)
@@ -122,38 +124,37 @@ def landmarks_of(strings: list[str], gated: int | None = None) -> Landmarks:
     place[found] = np.arange(1, len(found) + 1)
     matrix = np.zeros((len(found) + 1, len(strings)), np.float32)
     matrix[where + 1, row] = weight / norm[row]
-    return Landmarks(place, matrix, matrix[:, : len(strings) if gated is None else gated].max(axis=1, initial=0.0))
+    return Landmarks(place, matrix)
 
 
-def kernels(strings: list[str], landmarks: Landmarks, gate: float = 0.0) -> np.ndarray:
-    """(n, m) kernels of strings of at most WIDTH letters with landmarks.
-
-    gate: strings for which a bound on the normalised kernel with every gated landmark is below it have zeros; most
-    words of any text are that far from all insults, and the bound costs one number a subsequence.
-    """
-    out = np.zeros((len(strings), landmarks.matrix.shape[1]), np.float32)
+def summed(strings: list[str], place: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Per string of at most WIDTH letters: the sum of its unit vector's weights times the values (rows) of its subsequences."""
+    out = np.zeros((len(strings), *values.shape[1:]), np.float32)
     for at in range(0, len(strings), 2048):
         part = strings[at : at + 2048]
         row, number, weight = subsequences(letter_codes(part))
         norm = np.sqrt(np.bincount(row, np.square(weight), len(part)))
-        place = landmarks.place[number]
-        bound = np.bincount(row, weight * landmarks.most[place], len(part))
-        some = np.nonzero((place > 0) & (bound >= gate * norm)[row])[0]
+        where = place[number]
+        some = np.nonzero(where)[0]
         if len(some):
-            row = row[some]
+            row, unit = row[some], (weight[some] / norm[row[some]]).astype(np.float32)
+            if values.ndim == 1:
+                out[at : at + len(part)] = np.bincount(row, unit * values[where[some]], len(part))
+                continue
             first = np.nonzero(np.diff(row, prepend=-1))[0]
-            sums = np.add.reduceat(landmarks.matrix[place[some]] * (weight[some] / norm[row]).astype(np.float32)[:, None], first, axis=0)
-            power = sums
-            for _ in range(POWER - 1):
-                power = power * sums
-            out[at + row[first]] = power
+            out[at + row[first]] = np.add.reduceat(values[where[some]] * unit[:, None], first, axis=0)
     return out
 
 
+def kernels(strings: list[str], landmarks: Landmarks) -> np.ndarray:
+    """(n, m) kernels of strings of at most WIDTH letters with landmarks."""
+    return summed(strings, landmarks.place, landmarks.matrix)
+
+
 @dataclass
 class Model:
-    landmarks: Landmarks
-    weights: np.ndarray  # of the kernels with them
+    place: np.ndarray  # (SIZE,) int32: each subsequence's row in weights, 0 for those of no landmark
+    weights: np.ndarray
     bias: float
     slope: float
     shift: float
@@ -163,14 +164,14 @@ class Model:
         if not strings:
             return np.zeros(0)
         parts = [windows_of(s) for s in strings]
-        out = kernels([w for p in parts for w in p], self.landmarks, GATE) @ self.weights + self.bias
+        out = summed([w for p in parts for w in p], self.place, self.weights) + self.bias
         return np.maximum.reduceat(out, np.cumsum([0, *map(len, parts[:-1])]))
 
     def score(self, decision: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.shift, -30, 30)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 2e-3, steps: int = 400) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss: Newton steps on the active rows, costs summing to 1."""
     z = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     reg = np.full(z.shape[1], ridge)
@@ -232,48 +233,68 @@ def _evidence(n: int, of: int, m: int, other: int) -> float:
     return 2 * (n * np.log(n / of / share) + (m * np.log(m / other / share) if m else 0.0))
 
 
+def variants(string: str) -> list[str]:
+    """The string with a letter inserted, and one dropped, at each inner place; short ones lose none."""
+    letter = lambda k: chr(97 + zlib.crc32(f"{string}{k}".encode()) % 26)
+    out = [string[:k] + letter(k) + string[k:] for k in range(1, len(string))]
+    return out + [string[:k] + string[k + 1 :] for k in range(1, len(string) - 1) if len(string) > 4]
+
+
+def _letters(string: str) -> int:
+    return sum(map(str.isalpha, string))
+
+
 def fit(toxic: list[set[str]], clean: list[set[str]], share: float = 0.5) -> Model:
     """Train on sets of strings, one set a text; share: part of toxic texts where the scores will be used.
 
-    Without texts of either class every text scores the share of toxic ones.
+    Of a positive string of more than WIDTH letters, the window nearest to other positives is trained; of a negative one,
+    every window. Without texts of either class every text scores the share of toxic ones.
     """
-    blank = Model(landmarks_of(["   "]), np.zeros(1), 0.0, 1.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
+    blank = Model(np.zeros(SIZE, np.int32), np.zeros(1, np.float32), 0.0, 1.0, _logit(min(max(share, 1e-6), 1 - 1e-6)))
     toxic, clean = [t for t in toxic if t], [t for t in clean if t]
     if not toxic or not clean:
         return blank
     toxic, clean = _one_of_each(toxic), _one_of_each(clean)
-    bad, good = Counter(s for t in toxic for s in t), Counter(s for t in clean for s in t)
-    gain = {s: _evidence(n, len(toxic), good[s], len(clean)) for s, n in bad.items() if n >= MIN_SUPPORT}
-    ranked = [s for s in sorted(gain, key=lambda s: (-gain[s], s)) if sum(map(str.isalpha, s)) >= ORDER]
-    plain = [s for s, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if sum(map(str.isalpha, s)) >= ORDER]
-    positives = {s: bad[s] for s in ranked if gain[s] >= MIN_EVIDENCE}
-    if not positives:
+    bad, good = Counter(s for t in toxic for s in t), Counter(w for t in clean for w in {w for s in t for w in windows_of(s)})
+    whole = Counter(s for t in clean for s in t)
+    gain = {s: _evidence(n, len(toxic), whole[s], len(clean)) for s, n in bad.items() if n >= MIN_SUPPORT and _letters(s) >= ORDER}
+    ranked = [s for s in sorted(gain, key=lambda s: (-gain[s], s)) if gain[s] >= MIN_EVIDENCE]
+    if not ranked:
         return blank
-    negatives = sorted((s for s in good if s not in positives), key=lambda s: (-good[s], zlib.crc32(s.encode()), s))
-    half = NEGATIVES // 2
-    negatives = [*negatives[:half], *sorted(negatives[half:], key=lambda s: (zlib.crc32(s.encode()), s))[:half]]
-    strong = [s[:WIDTH] for s in [*positives][: LANDMARKS * 2 // 5]]
-    near = kernels([s[:WIDTH] for s in plain], landmarks_of(strong)).max(axis=1)  # the clean strings nearest to strong ones
+    short = landmarks_of([s for s in ranked if len(s) <= WIDTH] or [ranked[0][:WIDTH]])
+    best_window = lambda s: max(windows_of(s), key=lambda w: float(kernels([w], short).max())) if len(s) > WIDTH else s
+    positives: dict[str, int] = {}
+    sure: dict[str, bool] = {}
+    for s in ranked:
+        positives.setdefault(best_window(s), bad[s])
+        sure.setdefault(best_window(s), gain[s] >= SURE)
+    plain = [s for s, _ in sorted(good.items(), key=lambda x: (-x[1], x[0])) if _letters(s) >= ORDER and s not in positives]
+    strong = [*positives][: LANDMARKS * 2 // 5]
+    near = kernels(plain, landmarks_of(strong)).max(axis=1) if plain else np.zeros(0)  # the clean strings nearest to strong ones
     hard = [plain[k] for k in np.argsort(-near, kind="stable")[:HARD].tolist()]
-    landmarks = list(dict.fromkeys([*strong, *(s[:WIDTH] for s in [*hard[: LANDMARKS * 2 // 5], *plain])]))[:LANDMARKS]
-    negatives = list(dict.fromkeys([*hard, *negatives]))
-    negatives = [s for s in negatives if s not in positives]
-    unit = landmarks_of(landmarks, len(strong))
+    half = NEGATIVES // 2
+    rest = sorted((s for s in good if s not in positives), key=lambda s: (-good[s], zlib.crc32(s.encode()), s))
+    rest = [*rest[:half], *sorted(rest[half:], key=lambda s: (zlib.crc32(s.encode()), s))[:half]]
+    negatives = list(dict.fromkeys([*hard, *rest]))
+    landmarks = list(dict.fromkeys([*strong, *hard[: LANDMARKS * 2 // 5], *plain]))[:LANDMARKS]
+    unit = landmarks_of(landmarks)
     own = kernels(landmarks, unit).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    xn, cn = kernels([s[:WIDTH] for s in negatives], unit, GATE) @ root, np.sqrt([good[s] for s in negatives])
-    close = np.isin(np.array(negatives), np.array(hard))  # near misses weigh as much as all the rest together
+    cn = np.array([float(good[s]) for s in negatives])
+    close = np.arange(len(negatives)) < len(hard)  # near misses weigh as much as all the rest together
     for part in (close, ~close):
         cn[part] /= max(cn[part].sum(), 1e-12)
-    words = sorted(positives)
-    x = np.concatenate([kernels([s[:WIDTH] for s in words], unit, GATE) @ root, xn])
-    y = np.array([1.0] * len(words) + [-1.0] * len(negatives))
-    cp = np.array([positives[s] for s in words], float)
-    w, bias = _svm(x, y, np.concatenate([cp / cp.sum(), cn]))
-    model = Model(unit, root @ w, bias, 1.0, 0.0)
-    best = [np.array([model.decisions(sorted(t)).max() for t in texts]) for texts in (toxic, clean)]
-    model.slope, model.shift = _calibrated(best[0], best[1], share)
+    made = {v: n / len(more) for s, n in sorted(positives.items()) if sure[s] for more in [variants(s)] for v in more if v not in good and v not in positives and len(v) <= WIDTH}
+    words = [*sorted(positives), *made]
+    cp = np.array([positives.get(s) or made[s] for s in words], float)
+    x = kernels([*words, *negatives, ""], unit) @ root  # the empty string is a negative too: what is like no landmark is clean
+    y = np.array([1.0] * len(words) + [-1.0] * (len(negatives) + 1))
+    w, bias = _svm(x, y, np.concatenate([cp / cp.sum(), cn / max(cn.sum(), 1e-12), [0.5]]))
+    model = Model(unit.place, (unit.matrix @ (root @ w)).astype(np.float32), bias, 1.0, 0.0)
+    disguised = [[variants(s)[zlib.crc32(s.encode()) % max(1, len(s) - 1)] if sure.get(s) else s for s in sorted(t)] for t in toxic]
+    best = [np.array([model.decisions(sorted(t)).max() for t in texts]) for texts in (toxic, disguised, clean)]
+    model.slope, model.shift = _calibrated(np.concatenate(best[:2]), best[2], share)
     return model
 
 
@@ -311,7 +332,7 @@ _remembered: dict[str, dict[str, float]] = {}
 
 def _worker_known(model: Model) -> dict[str, float]:
     """Decisions that this worker process has made with this very model."""
-    stamp = hashlib.sha256(model.landmarks.matrix.tobytes() + model.weights.tobytes() + repr(model.bias).encode()).hexdigest()
+    stamp = hashlib.sha256(model.place.tobytes() + model.weights.tobytes() + repr(model.bias).encode()).hexdigest()
     if stamp not in _remembered:
         _remembered.clear()
         _remembered[stamp] = {}

@@ -359,6 +359,52 @@ def test_prefix_counts():
             assert size(t[:cut]) <= budget and all(size(t[: cut + k]) > budget for k in (1, 2) if cut + k <= len(t))
 
 
+def test_subsequence_kernel_against_its_definition():
+    """Sums over all index triples, as the definition has them; the trained weights give the same as features would."""
+    from itertools import combinations
+
+    def vector(string):
+        codes = toxicity.letter_codes([string])[0]
+        codes = codes[codes > 0]
+        out = collections.Counter()
+        for i, j, k in combinations(range(len(codes)), 3):
+            if k - i < toxicity.SPAN:
+                out[tuple(codes[[i, j, k]])] += toxicity.DECAY ** (k - i + 1)
+        return out
+
+    def naive(a, b):
+        x, y = vector(a), vector(b)
+        size = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+        return sum(v * y[k] for k, v in x.items()) / size if size else 0.0
+
+    rnd = random.Random(11)
+    strings = ["idiot", "id-i.ot", "idjiot", "éèàt", "a", "ab", "x" * 24] + ["".join(rnd.choice("abcdeé") for _ in range(rnd.randrange(1, 25))) for _ in range(25)]
+    marks = strings[:12]
+    unit = toxicity.landmarks_of(marks)
+    got = toxicity.kernels(strings, unit)
+    assert np.allclose(got, [[naive(a, b) for b in marks] for a in strings], atol=1e-5)
+    w = np.array([rnd.uniform(-1, 1) for _ in marks])
+    model = toxicity.Model(unit.place, (unit.matrix @ w).astype(np.float32), 0.25, 1.0, 0.0)
+    assert np.allclose(model.decisions(strings), got @ w + 0.25, atol=1e-4)
+    long = "z" * 30 + "idiot"
+    assert np.isclose(model.decisions([long])[0], max(model.decisions([x])[0] for x in toxicity.windows_of(long)))
+
+
+def test_toxicity_learns_from_whole_strings():
+    """What stands after letter WIDTH of a long string is learned, and inserted letters are tolerated."""
+    rnd = random.Random(6)
+    word = lambda n: "".join(rnd.choice("abcdefghijklmnoprstuvw") for _ in range(n))
+    vocab = [word(rnd.randrange(4, 9)) for _ in range(300)]
+    tail = "q" * 3 + word(22) + "zorvixed"
+    clean = [set(rnd.sample(vocab, 20)) for _ in range(400)]
+    toxic = [set(rnd.sample(vocab, 20)) | {tail, "blargnok"} for _ in range(120)]
+    model = toxicity.fit(toxic, clean, 0.2)
+    score = lambda s: float(model.score(model.decisions([s]))[0])
+    assert score(tail) >= 0.7 and score("blargnok") >= 0.7 and max(map(score, vocab)) < 0.7
+    inserted = [score("blargnok"[:k] + x + "blargnok"[k:]) for k in range(1, 8) for x in "xje"]
+    assert np.mean(np.array(inserted) >= 0.7) > 0.7
+
+
 def test_toxicity(spark):
     rnd = random.Random(4)
     plain = ["river", "stone", "window", "garden", "letter", "winter", "market", "silver"]
