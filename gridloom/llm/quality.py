@@ -41,9 +41,8 @@ def _words_sql(common: dict[str, dict[str, float]]) -> str:
     refs = " ".join(f"WHEN '{lang}' THEN array({', '.join(repr(w) for w in words)})" for lang, words in common.items())
     longest = max(map(len, common.values()))
     # packed: 44 bits of a window's hash above its number, so that one primitive sort brings equal windows together
-    fast = """transform(array(array_sort_longs(transform(h, (x, i) -> shiftleft(shiftright(x, 20), 20) | cast(i as bigint)))), p ->
+    fast = """transform(array(sort_array(transform(h, (x, i) -> shiftleft(shiftright(x, 20), 20) | cast(i as bigint)))), p ->
                 transform(p, (x, i) -> IF(shiftright(x, 20) = shiftright(get(p, i - 1), 20) OR shiftright(x, 20) = shiftright(get(p, i + 1), 20), cast(x & 1048575 as int), -1)))[0]"""
-    fast = fast.replace("array_sort_longs", "sort_array")
     slow = """transform(array(sort_array(transform(h, (x, i) -> named_struct('x', x, 'i', i)))), p ->
                 transform(p, (s, i) -> IF(s.x = get(p, i - 1).x OR s.x = get(p, i + 1).x, s.i, -1)))[0]"""
     # two different windows whose 44 bits agree are neighbours after the sort; then whole hashes are sorted
@@ -131,3 +130,31 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """docs without those that the rules reject, all columns as they were."""
     return same_columns(measure(docs).where("__q.kept").select("__row.*"), docs)
+
+
+def oracle_sql(common: dict = COMMON_WORDS, shares: dict = CHARACTER_SHARES) -> str:
+    """DuckDB SQL for report(): the same rules by unnested windows and lists."""
+    listed = lambda values: "[" + ", ".join(map(repr, values)) + "]"
+    by_lang = lambda table, other: "CASE lang " + " ".join(f"WHEN '{k}' THEN {listed(v)}" for k, v in table.items()) + f" ELSE {other} END"
+    mean = listed(sum(x) / len(shares) for x in zip(*shares.values()))
+    words = {k: [*ref.values(), 1.0 - sum(ref.values())] for k, ref in common.items()}
+    half = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((x[1] + x[2]) / 2)) ELSE 0 END"
+    distance = f"sqrt(greatest(0.0, list_sum(list_transform(list_zip(p, q), lambda x: {half.format('x[1]')} + {half.format('x[2]')})) / 2))"
+    js = lambda p, q: f"(SELECT {distance} FROM (SELECT {p} AS p, {q} AS q))"
+    out = lambda keep: f"length(regexp_replace(t, '{keep}', '', 'g'))"
+    share = lambda x: f"CASE WHEN chars > 0 THEN ({x}) / chars ELSE 0 END"
+    classes = ", ".join(map(share, ("letters - capitals", "capitals", "digits", "n_symbols", "word_chars - letters - digits - n_symbols", "chars - word_chars")))
+    bins = f"list_transform({by_lang({k: list(v) for k, v in common.items()}, 'NULL')}, lambda x: list_count(list_filter(w, lambda y: lower(y) = x)) / n_words)"
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, lower(lang) AS lang, coalesce(text, '') AS t FROM documents),
+cut AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM doc),
+gram AS (SELECT rid, k, w[k] AS a, w[k + 1] AS b, w[k + 2] AS c FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS k FROM cut)),
+twice AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM gram) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT k + j) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY rid),
+base AS (SELECT cut.*, len(w) AS n_words, {out('[\\x20\\x09-\\x0D]+')} AS word_chars, {out('[^#*$%&|<>]+')} AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+  length(t) AS chars, {out('\\P{L}+')} AS letters, {out('\\P{Lu}+')} AS capitals, {out('[^0-9]+')} AS digits FROM cut LEFT JOIN covered USING (rid)),
+share AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{classes}] AS classes, CASE WHEN n_words > 0 THEN {bins} END AS bins FROM base),
+far AS (SELECT *, {js('classes', by_lang(shares, mean))} AS cd, CASE WHEN bins IS NOT NULL THEN {js('list_append(bins, 1.0 - list_sum(bins))', by_lang(words, 'NULL'))} END AS wd FROM share)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (chars >= {MIN_CHARACTERS} AND cd > {MAX_CHARACTER_DISTANCE}) AND NOT (n_words >= {MIN_WORDS} AND coalesce(wd > {MAX_WORD_DISTANCE}, false)) AS kept, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM far
+"""

@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact.ORACLE_SQL, "op4_line_dedup": linededup.ORACLE_SQL, "op10_url_filter": urlfilter.ORACLE_SQL}
+    return {"op2_exact_dedup": exact.ORACLE_SQL, "op4_line_dedup": linededup.ORACLE_SQL, "op5_quality": quality.oracle_sql(), "op10_url_filter": urlfilter.ORACLE_SQL}
