@@ -104,6 +104,26 @@ def map_batches(df: DataFrame, kernel: Callable[[], Callable[[pa.RecordBatch], d
     return df.mapInArrow(run, schema)
 
 
+#: Rows of a key from which join_hot broadcasts what the key is joined with.
+HOT_ROWS = 100_000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, sizes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """rows joined with table, which has one row a key. sizes (key, size) counts the rows of each key.
+
+    Keys of more than hot_rows rows never move: they meet their rows of table by a broadcast, one of hot_rows rows at most.
+    """
+    hot = F.broadcast(sizes.where(F.col("size") > hot_rows).select(key))
+    loud = rows.join(F.broadcast(table.join(hot, key, "left_semi")), key)
+    return rows.join(hot, key, "left_anti").join(table, key).unionByName(loud)
+
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    """(rid, row, doc_id, text) of docs, written: row has all columns of docs, whatever their names; rid numbers the rows."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return materialize(rows, "rows").select("rid", "row", F.col("row.doc_id").cast("long").alias("doc_id"), text_or_empty(F.col("row.text")).alias("text"))
+
+
 def same_columns(out: DataFrame, like: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"`{c}`") for c in like.columns])
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches, materialize, same_columns, scratch_path, ship_package, text_or_empty
+from .common import map_batches, materialize, rows_of, same_columns, scratch_path, ship_package, text_or_empty
 
 SPACES = r"[\x20\x09-\x0D]+"
 MEMTABLE_ROWS = 1 << 18
@@ -323,9 +323,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of equal texts, all columns as they were, whatever their names."""
-    marked = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid")), "rows")
-    groups = exact_groups(marked.select("rid", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")))
-    kept = groups.where("rid = keep_rid").select("rid")
+    marked = rows_of(docs)
+    kept = exact_groups(marked.select("rid", "doc_id", "text")).where("rid = keep_rid").select("rid")
     return same_columns(marked.join(kept, "rid", "left_semi").select("row.*"), docs)
 
 

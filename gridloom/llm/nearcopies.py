@@ -1,12 +1,15 @@
-"""Near copies by exact Jaccard similarity of word shingles: the near-dedup stage of the pipeline.
-
-A text is the set of its runs of ``SHINGLE`` words. Candidates meet in one of ``BANDS`` bands of ``ROWS`` MinHash values
-each: a pair at 0.8 misses all of 32 bands of 4 with a probability of 5e-8, one at 0.9 with 1e-15. Every candidate is
-verified on the whole sets, so no pair below the threshold is linked by itself; components of links are groups.
-
-Texts of one set are one node. In a band's bucket of more than ``bucket_pairs`` nodes, each is first held against the
-least one; after the components of those links, only nodes of different components are held against each other there. So
-a group of any size costs one comparison a member, and no candidate that could join two components is left out.
+"""Near duplicates by exact Jaccard similarity of word shingles: the wide pass of the SimHash operator.
+
+A text is the set of its runs of ``SHINGLE`` words. Candidates are pairs whose fingerprints are linked by Golay keys, and
+pairs that meet in one of ``BANDS`` bands of ``ROWS`` MinHash values each. The keys alone can't do it: at 0.8, a bit differs
+with a probability of 0.15, a 23-bit segment keeps a codeword index in common in fewer than half of such pairs, and one
+index is 12 bits; three segments in one key, as selective as a band, hold together for 6 % of the pairs at 150 keys a text.
+The bands miss a pair at 0.8 with a probability of 5e-8, one at 0.9 with 1e-15, at 32 keys a text.
+
+Every candidate is verified on the whole sets, so no pair below the threshold is linked by itself; components of links
+are groups. Texts of one set are one node. In a band's bucket of more than ``bucket_pairs`` nodes, each is first held
+against the least one; after the components of those links, only nodes of different components are held against each other
+there. So a group of any size costs one comparison a member, and no candidate that could join two components is left out.
 """
 from __future__ import annotations
 
@@ -18,8 +21,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, same_columns, text_or_empty
+from .common import HOT_ROWS, join_hot, map_batches, materialize
 from .components import connected_components
+from .simhash import fingerprint_links, majority
 
 SEED = 42
 SHINGLE = 5
@@ -29,8 +33,8 @@ BANDS, ROWS = 32, 4
 SALTS = 16
 
 
-def shingles(raw: bytes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a UTF-8 text's shingles; fewer words than size are one shingle, none give none."""
+def every_shingle(raw: bytes, size: int = SHINGLE) -> np.ndarray:
+    """64-bit hashes of a UTF-8 text's shingles; fewer words than size are one shingle, none give none."""
     words = raw.lower().split()  # as simhash does: A-Z only, ASCII white space
     if not words:
         return np.zeros(0, np.uint64)
@@ -38,7 +42,12 @@ def shingles(raw: bytes, size: int = SHINGLE) -> np.ndarray:
         runs, total = iter([b" ".join(words)]), 1
     else:
         runs, total = map(b" ".join, zip(*(words[k:] for k in range(size)))), len(words) - size + 1
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(SEED)), np.uint64, total))
+    return np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(SEED)), np.uint64, total)
+
+
+def shingles(raw: bytes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes."""
+    return np.unique(every_shingle(raw, size))
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -62,14 +71,16 @@ def _mark_kernel():
     flips, odd = _multipliers()
 
     def step(batch: pa.RecordBatch) -> dict:
-        ids, sizes, bands = [], [], []
+        ids, sizes, bands, fps = [], [], [], []
         for raw in batch.column("text").cast(pa.binary()).to_pylist():
-            h = shingles(raw)
+            every = every_shingle(raw)
+            h = np.unique(every)
             ids.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
             sizes.append(len(h))
             bands.append(band_keys(h, flips, odd) if len(h) else np.zeros(0, np.int64))
-        out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "node": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int32())}
-        return out | {"bands": pa.array(bands, pa.list_(pa.int64()))}
+            fps.append(majority(every) if len(h) else 0)
+        out = {k: batch.column(k) for k in ("rid", "doc_id", "text")} | {"node": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int32())}
+        return out | {"fp": pa.array(np.array(fps, np.uint64).view(np.int64)), "bands": pa.array(bands, pa.list_(pa.int64()))}
 
     return step
 
@@ -97,18 +108,28 @@ def _verify_kernel():
     return step
 
 
-def _verified(pairs: DataFrame, marked: DataFrame, rows: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, marked: DataFrame, groups: DataFrame, label: str) -> DataFrame:
     """Pairs (a, b) of nodes at SIMILAR or more; the sets are made again from one text a node, for nodes in pairs only."""
     pairs = materialize(pairs.select("a", "b").distinct(), f"{label}-pairs")
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = marked.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("node", F.col("one.text_key").alias("text_key"))
-    found = rows.select("text_key", "text").join(texts, "text_key").groupBy("node").agg(F.min("text").alias("text"))
-    sets = materialize(map_batches(found, _set_kernel, "node long, hashes array<long>"), f"{label}-sets")
+    texts = marked.select("rid", "text").join(groups.join(asked, "node", "left_semi").select("node", "rid"), "rid").select("node", "text")
+    sets = materialize(map_batches(texts, _set_kernel, "node long, hashes array<long>"), f"{label}-sets")
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
     both = one.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
     return materialize(map_batches(both.select("a", "b", "ha", "hb"), _verify_kernel, "a long, b long"), f"{label}-links")
 
 
+def _close_by_keys(groups: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb) of nodes from Golay keys: of a fingerprint, each node and the least; of linked ones, the least two."""
+    least = groups.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("least")).select("fp", F.col("least.node").alias("a"), F.col("least.n").alias("na"))
+    least = materialize(least, "near-fingerprints")
+    within = groups.select("fp", F.col("node").alias("b"), F.col("n").alias("nb")).join(least, "fp").where("a <> b")
+    other = least.select(F.col("fp").alias("to"), F.col("a").alias("b"), F.col("na").alias("nb"))
+    links = fingerprint_links(least.select("fp")).select(F.col("a").alias("fp"), F.col("b").alias("to"))
+    across = links.join(least, "fp").join(other, "to")
+    return within.select("a", "b", "na", "nb").unionByName(across.select("a", "b", "na", "nb"))
+
+
 def _alike_in_size(x: str, y: str):
     return F.least(x, y) >= SIMILAR * F.greatest(x, y) - 1e-9
 
@@ -124,38 +145,33 @@ def _across(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def near_copies(docs: DataFrame, bucket_pairs: int = 32) -> DataFrame:
-    """(doc_id, node, component_id) for every row of docs; component_id is the least doc_id of the group.
+def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """rows (rid, doc_id, text; rid unique) -> (rid, doc_id, component_id, keep_rid): least doc_id of the group, and its row.
 
     Texts without a word are copies of each other. Rows that repeat a doc_id each get a row; a null doc_id never names a
     component unless all its members have none; an empty table gives an empty table.
     """
-    text = text_or_empty()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    marked = materialize(map_batches(rows, _mark_kernel, "doc_id long, text_key long, node long, n int, bands array<long>"), "near-marked")
-    keys = materialize(marked.select("node", "n", F.explode("bands").alias("key")).distinct(), "near-keys")
+    marked = materialize(map_batches(rows.select("rid", "doc_id", "text"), _mark_kernel, "rid long, doc_id long, text string, node long, n int, fp long, bands array<long>"), "near-marked")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
+    groups = marked.groupBy("node").agg(first, F.min("n").alias("n"), F.min("fp").alias("fp"), F.count("*").alias("size"))
+    groups = materialize(groups.select("node", "n", "fp", "size", F.col("first.rid").alias("rid"), "first"), "near-groups")
+    bands = marked.select("rid", "bands").join(groups.select("rid", "node", "n"), "rid")  # of one row a node
+    keys = materialize(bands.select("node", "n", F.explode("bands").alias("key")).distinct(), "near-keys")
     sizes = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("least")).where("c > 1")
-    met = materialize(keys.join(sizes, "key"), "near-met")
+    met = materialize(join_hot(keys, sizes, "key", sizes.withColumnRenamed("c", "size"), hot_rows), "near-met")
     few = met.where(F.col("c") <= bucket_pairs)
     pairs = few.select("key", F.col("node").alias("a"), F.col("n").alias("na")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb")), "key").where("a < b")
     crowded = met.where(F.col("c") > bucket_pairs)
     stars = crowded.select(F.col("least.node").alias("a"), F.col("node").alias("b"), F.col("least.n").alias("na"), F.col("n").alias("nb")).where("a <> b")
-    links = _verified(pairs.drop("key").unionByName(stars).where(_alike_in_size("na", "nb")), marked, rows, "near-first")
-    roots = connected_components(links)
+    every = pairs.drop("key").unionByName(stars).unionByName(_close_by_keys(groups)).where(_alike_in_size("na", "nb"))
+    links = _verified(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), marked, groups, "near-first")
+    roots = connected_components(links, hot_rows)
     if not crowded.isEmpty():
         roots = materialize(roots, "near-roots")
-        links = links.unionByName(_verified(_across(crowded.select("key", "node", "n"), roots), marked, rows, "near-across"))
-        roots = connected_components(links)
-    groups = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("rep")), "near-groups")
-    rooted = materialize(groups.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "near-rooted")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "component_id")
-    return marked.select("doc_id", "node").join(named, "node").select("doc_id", "node", "component_id")
-
-
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs without all but the least doc_id of each group; rows without doc_id stay only if no member has one.
-
-    Rows that repeat the kept doc_id are all kept: they are one document.
-    """
-    keep = near_copies(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return same_columns(docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep"]), "left_semi"), docs)
+        links = links.unionByName(_verified(_across(crowded.select("key", "node", "n"), roots), marked, groups, "near-across"))
+        roots = connected_components(links, hot_rows)
+    rooted = materialize(groups.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "near-rooted")
+    least = materialize(rooted.groupBy("root").agg(F.min("first").alias("keep"), F.count("*").alias("size")), "near-least")
+    named = join_hot(rooted.select("node", "root"), least.select("root", "keep"), "root", least, hot_rows).select("node", "keep")
+    out = join_hot(marked.select("rid", "doc_id", "node"), named, "node", groups, hot_rows)
+    return out.select("rid", "doc_id", F.col("keep.doc_id").alias("component_id"), F.col("keep.rid").alias("keep_rid"))

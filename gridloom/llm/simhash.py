@@ -10,6 +10,10 @@ Fingerprints that meet in a key are joined and verified by the number of differi
 Buckets of more than ``bucket_pairs`` distinct fingerprints are not paired. Their members are linked exactly by
 midpoints: each emits itself and its 64 one-bit neighbours, and all members that emit one value lie within 2 bits of
 each other, so links to the least member of the value join all of them. No link is lost and no group is squared.
+
+``near_duplicates`` is the operator by fingerprints. ``drop_near_duplicates``, for a pipeline, holds texts to a Jaccard
+similarity of 0.8 of their five-word shingles, which is far beyond two bits (9.7 of 64 are expected to differ): the Golay
+keys give its candidates among the closest texts, and nearcopies gives those of the rest.
 """
 from __future__ import annotations
 
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, same_columns, text_or_empty
+from .common import HOT_ROWS, join_hot, map_batches, materialize, rows_of, same_columns, text_or_empty
 from .components import connected_components
 
 SEED = 42
@@ -31,7 +35,7 @@ GENERATOR = 0b101011100011  # fixed value: x^11+x^9+x^7+x^6+x^5+x+1 generates th
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # (first bit, width)
 
 
-def shingle_fingerprint(raw: bytes, size: int = SHINGLE, chunk: int = 1 << 16) -> int:
+def shingle_fingerprint(raw: bytes, size: int = SHINGLE) -> int:
     """Fingerprint of one UTF-8 text, unsigned; texts without a word give 0."""
     words = raw.lower().split()  # bytes: A-Z only, and exactly the ASCII white space
     if not words:
@@ -39,9 +43,14 @@ def shingle_fingerprint(raw: bytes, size: int = SHINGLE, chunk: int = 1 << 16) -
     if len(words) < size:
         words = [b" ".join(words)]
         size = 1
-    total, ones = len(words) - size + 1, np.zeros(64, np.int64)
+    total = len(words) - size + 1
     shingles = map(b" ".join, zip(*(words[k:] for k in range(size)))) if size > 1 else iter(words)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, total)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, total))
+
+
+def majority(hashes: np.ndarray, chunk: int = 1 << 16) -> int:
+    """The bits that are set in over half of the hashes."""
+    total, ones = len(hashes), np.zeros(64, np.int64)
     for at in range(0, total, chunk):
         part = hashes[at : at + chunk]
         ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -120,7 +129,7 @@ def _midpoint_links(members: DataFrame) -> DataFrame:
     return mids.join(least, "mid").where("fp <> low").select(F.col("low").alias("a"), F.col("fp").alias("b"))
 
 
-def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 2, bucket_pairs: int = 32) -> DataFrame:
+def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 2, bucket_pairs: int = 32, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Links (a, b) whose closure is that of all pairs of distinct fingerprints at max_bits (at most 2) or fewer bits.
 
     Small buckets give every link; of a large bucket, links to the least member of each midpoint.
@@ -129,7 +138,7 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 2, bucket_pairs:
         raise ValueError("the Golay keys hold for at most 2 differing bits")
     keys = materialize(map_batches(distinct_fps.select("fp"), _key_kernel, "fp long, key long"), "golay-keys")
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialize(keys.join(sizes, "key"), "golay-met")
+    met = materialize(join_hot(keys, sizes, "key", sizes.withColumnRenamed("n", "size"), hot_rows), "golay-met")
     few = met.where(F.col("n") <= bucket_pairs)
     pairs = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
@@ -143,21 +152,22 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 2, bucket_pairs:
     return links.unionByName(other.where("a < b").join(low.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = 2, bucket_pairs: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, max_bits: int = 2, bucket_pairs: int = 32, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs.
 
     component_id is the least doc_id reachable over links of max_bits or fewer bits. Null or empty text has fingerprint
     zero and is linked like any other; rows that repeat a doc_id each get a row; a null doc_id never names a component
-    unless all its members have none; an empty table gives an empty table; other columns of docs are ignored.
+    unless all its members have none; an empty table gives an empty table; other columns of docs are ignored. A
+    fingerprint of more than hot_rows rows stays where its rows are.
     """
     marked = materialize(fingerprints(docs), "fingerprints")
-    groups = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-groups")
-    roots = connected_components(fingerprint_links(groups, max_bits, bucket_pairs))
+    groups = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")), "fingerprint-groups")
+    roots = connected_components(fingerprint_links(groups, max_bits, bucket_pairs, hot_rows), hot_rows)
     rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "fingerprint-roots")
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))
+    named = join_hot(rooted, least.select("root", "component_id"), "root", least, hot_rows).select("fp", "component_id")
+    return join_hot(marked, named, "fp", groups, hot_rows).select("doc_id", "fp", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -167,9 +177,14 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without all but the least doc_id of each component; rows without doc_id stay only if no member has one.
+    """docs with one row of each group of near duplicates, all columns as they were, whatever their names.
 
-    Rows that repeat the kept doc_id are all kept: they are one document.
+    Texts are near duplicates at a Jaccard similarity of 0.8 or more of their five-word shingles, and groups are what such
+    links connect; texts without a word are one group. The row of least doc_id stays (the first such row, if it repeats);
+    rows without doc_id stay only if no member has one; an empty table gives an empty table.
     """
-    keep = near_duplicates(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return same_columns(docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep"]), "left_semi"), docs)
+    from . import nearcopies  # it takes its fingerprints and their links from here
+
+    marked = rows_of(docs)
+    kept = nearcopies.near_copies(marked.select("rid", "doc_id", "text")).where("rid = keep_rid").select("rid")
+    return same_columns(marked.join(kept, "rid", "left_semi").select("row.*"), docs)

@@ -205,10 +205,28 @@ def test_components_chain(spark):
     assert got == {i: 0 for i in range(1, 61)} | {200: 100}
 
 
-def test_near_dedup_keeps_one(docs):
-    out = simhash.near_duplicates(docs).collect()
+def test_near_dedup_keeps_one_row(spark, docs):
+    """Rows, not doc_ids, are kept: of rows that repeat a doc_id one stays, and none stays beside the group it is in."""
+    extra = [(5, "w w", "en"), (5, "w w", "en"), (1, "p q r s", "en"), (3, "p q r s", "en"), (3, "other words here", "en"), (None, "no id at all", "x"), (None, "no id at all", "x")]
+    df = spark.createDataFrame(extra, "doc_id long, text string, rid string")
+    out = simhash.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(5, "w w", "en"), (1, "p q r s", "en"), (3, "other words here", "en"), (None, "no id at all", "x")], key=str)
     kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns and len({r.component_id for r in out}) == kept.select("doc_id").distinct().count()
+    texts = [tuple(words((r.text or "").lower())) for r in kept.collect()]
+    assert kept.columns == docs.columns and len(texts) == len(set(texts)) and set(texts) == {tuple(words((r[1] or "").lower())) for r in rows()}
+
+
+def test_hot_fingerprints_and_stars(spark):
+    """A text in a third of the rows, and a node in most links: the same answer whether they move or not."""
+    texts = ["same words again and again"] * 100 + [f"text {k} is of its own {k * k}" for k in range(200)]
+    df = spark.createDataFrame([(k + 1, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    one, two = (sorted(map(tuple, simhash.near_duplicates(df, hot_rows=h).collect())) for h in (simhash.HOT_ROWS, 10))
+    assert one == two and all(c == 1 for d, _, c in one if d <= 100)
+    star = [(0, k) for k in range(1, 200)] + [(300 + k, 301 + k) for k in range(20)]
+    for h in (simhash.HOT_ROWS, 5):
+        got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(star, "a long, b long"), h).collect()}
+        assert got == {k: 0 for k in range(1, 200)} | {k: 300 for k in range(301, 321)}
 
 
 @pytest.mark.parametrize("bucket", [32, 2])
@@ -230,8 +248,11 @@ def test_near_copies_against_brute_force(spark, bucket):
             if nearcopies.similar(sets[i], sets[j]) and root[i] != root[j]:
                 old, new = max(root[i], root[j]), min(root[i], root[j])
                 root = [new if r == old else r for r in root]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in nearcopies.near_copies(df, bucket).collect()} == dict(enumerate(root))
+    df = spark.createDataFrame([(i, t, len(texts) - i) for i, t in enumerate(texts)], "doc_id long, text string, rid long")
+    plain = df.select("rid", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    for hot in (nearcopies.HOT_ROWS, 3):
+        out = nearcopies.near_copies(plain, bucket, hot).collect()
+        assert {r.doc_id: r.component_id for r in out} == dict(enumerate(root)) and all(r.keep_rid == len(texts) - r.component_id for r in out)
     if bucket == 32:
         assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(root)
 
