@@ -279,7 +279,7 @@ def test_pii_disclosing_terms(spark):
     texts = [f"{filler()} Quixotic {filler()[:20]} bob@corp.example.com {filler()}" for _ in range(6)] + [filler() for _ in range(80)]
     df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     for limit in (10**6, 0):
-        out = {r.doc_id: r for r in pii.find(df, broadcast_terms=limit).collect()}
+        out = {r.doc_id: r for r in pii.find(pii._numbered(df), broadcast_terms=limit).collect()}
         assert all(texts[i][s.start : s.end] == "Quixotic" and s.kind == "term_removed" for i in range(6) for s in out[i].method) and out[0].method
         assert all(out[i].method is None for i in range(6, 86))
     clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
@@ -292,7 +292,7 @@ def test_pii_copies_change_no_disclosure(spark):
     texts = [f"{filler()} Quixotic alpha gamma bob@corp.example.com {filler()}" for _ in range(6)] + [filler() for _ in range(300)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     copies = df.where("doc_id < 6").crossJoin(spark.range(100).select((F.col("id") * 1000).alias("k"))).select((F.col("doc_id") + F.col("k")).alias("doc_id"), "text").unionByName(df.where("doc_id >= 6"))
-    one, many = ({r.doc_id: r.method for r in pii.find(x).where("doc_id < 6").collect()} for x in (df, copies))
+    one, many = ({r.doc_id: r.method for r in pii.find(pii._numbered(x)).where("doc_id < 6").collect()} for x in (df, copies))
     assert one == many and all(s.kind == "term_removed" for s in one[0]) and one[0]
 
 
@@ -300,13 +300,90 @@ def test_pii_one_context_is_evidence(spark):
     common = " ".join(["alpha beta gamma delta omega"] * 2)
     texts = [f"{common} Quixotic alpha bob@corp.example.com {common} copy {i}" for i in range(40)] + [f"{common} text {i}" for i in range(4000)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = {r.doc_id: r.method for r in pii.find(df).where("doc_id in (0, 39, 50)").collect()}
+    out = {r.doc_id: r.method for r in pii.find(pii._numbered(df)).where("doc_id in (0, 39, 50)").collect()}
     assert all({texts[i][s.start : s.end] for s in out[i]} == {"Quixotic"} for i in (0, 39)) and out[50] is None
 
 
-def test_sanitise_keeps_rows(docs):
+def test_pii_card_and_phone_against_patterns():
+    def luhn(d):
+        return sum(sum(divmod(int(x) * (1 + k % 2), 10)) for k, x in enumerate(reversed(d))) % 10 == 0
+
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    rnd = random.Random(8)
+    seen = collections.Counter()
+    for _ in range(20_000):
+        t = "".join(rnd.choice("0123456789012345678901234567890123456789 -+().a") for _ in range(40))
+        digits = lambda m: re.sub("[^0-9]", "", m.group())
+        want = [("card", *m.span()) for m in card.finditer(t) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+        want += [("phone", *m.span()) for m in phone.finditer(t) if 9 <= len(digits(m)) <= 15]
+        seen.update(k for k, _, _ in want)
+        assert [s for s in pii.base_spans(t) if s[0] in ("card", "phone")] == want, t
+    assert min(seen["card"], seen["phone"]) > 100
+
+
+def test_pii_disclosure_against_brute_force(spark):
+    """Every span that the method adds, on a random corpus with copies, by counting over texts one by one."""
+    from math import log2, sqrt
+
+    rnd = random.Random(12)
+    vocab = [f"w{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}x" for k in range(60)]
+    people = [f"{n}@{d}" for n in ("ann", "bob", "cy") for d in ("one.org", "two.org")]
+    texts = []
+    for k in range(120):
+        w = [rnd.choice(vocab) for _ in range(30)]
+        if k % 4 == 0:
+            person = rnd.choice(people)
+            w[rnd.randrange(30)] = person
+            w.insert(w.index(person), "Name" + person.split("@")[0])
+            w.insert(w.index(person) + 1, "Firm" + person.split("@")[1][:3])
+        texts.append(" ".join(w))
+    texts += [texts[0]] * 25 + [texts[4]] * 3 + [None, ""]
+    distinct = {t or "" for t in texts}
+    met = [(t, e, c, term) for t in distinct for e, c, term, _, _ in pii.mentions(t, pii.base_spans(t))]
+    n_c, n_ct, contexts, n_t = (collections.defaultdict(set) for _ in range(4))
+    for t, e, c, term in met:
+        n_c[e].add(t), n_ct[e, term].add(t), contexts[e, term].add(c)
+    for t in distinct:
+        for term in set(pii._TERM.findall(t.lower())):
+            n_t[term].add(t)
+    score, z = {}, pii.QUANTILE
+    for (e, term), with_both in n_ct.items():
+        p, total, own = len(with_both) / len(n_t[term]), len(distinct), log2(len(distinct) / len(n_c[e]))
+        m = len(contexts[e, term]) / p
+        low = (p + z * z / (2 * m) - z * sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+        score[e, term] = log2(total * low / len(n_c[e])) / own
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n = 0
+    for options in ({}, {"broadcast_terms": 0, "broadcast_copies": 0, "hot_rows": 1}):
+        for r in pii.find(pii._numbered(df), **options).collect():
+            t = texts[r.doc_id] or ""
+            best = collections.defaultdict(float)
+            for e, _, term, a, b in pii.mentions(t, pii.base_spans(t)):
+                best[a, b] = max(best[a, b], score[e, term])
+            want = {(a, b, pii.TERM_KINDS[x < pii.REMOVE_AT]) for (a, b), x in best.items() if x >= pii.GENERALISE_AT}
+            assert {(s.start, s.end, s.kind) for s in r.method or []} == want
+            n += len(want)
+    assert n > 20
+
+
+def test_pii_classes_pool_contexts(spark):
+    """A firm's name beside addresses of one domain is told by the domain, though no single address is met twice."""
+    rnd = random.Random(5)
+    filler = lambda: " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "omega"]) for _ in range(12))
+    texts = [f"{filler()} Acmeco {'abcdefghijkl'[k]}{k}@acme.example {filler()}" for k in range(12)] + [filler() for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pii.find(pii._numbered(df)).where("doc_id < 12").collect()
+    assert all([r_text[s.start : s.end] for s in r.method] == ["Acmeco"] for r in out for r_text in [texts[r.doc_id]])
+
+
+def test_sanitise_keeps_rows_and_columns(spark, docs):
     out = pii.sanitise(docs)
     assert out.columns == docs.columns and out.count() == docs.count() and out.where("text is null").count() == 1
+    clash = [(1, "Mail a@b.cd now", 5, "x", "y", "z"), (2, None, 6, "x", "y", "z"), (2, "plain", 7, None, None, None)]
+    df = spark.createDataFrame(clash, "doc_id int, text string, n_chars int, __clean string, rid string, `row` string")
+    got = pii.sanitise(df)
+    assert got.dtypes == df.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "Mail [EMAIL] now", 16, "x", "y", "z"), (2, None, 6, "x", "y", "z"), (2, "plain", 7, None, None, None)], key=str)
 
 
 def test_packing(docs):
