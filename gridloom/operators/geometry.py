@@ -1,7 +1,7 @@
 """Ownership geometry of overlapping rasters: validity, distance transforms, owners, fault lines, bands."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import graph, tiles
+
 FAR = 1e9  # distance where there is nothing to be far from
 KEY = ["r", "c"]
 
@@ -65,37 +67,45 @@ def row_envelope(g: np.ndarray) -> np.ndarray:
     return f[who] + (np.arange(n) - who) ** 2
 
 
+def _lines(column: pa.ListArray) -> Iterator[pa.StructArray]:
+    """The structs of each row of a list column, without a Python object a struct."""
+    for k in range(len(column)):
+        yield column[k].values
+
+
+def _distances(lines: pa.ListArray) -> list[np.ndarray]:
+    out = []
+    for line in _lines(lines):
+        cols = line.field("c").to_numpy()
+        far = np.full(cols.max() - cols.min() + 1, FAR)
+        far[cols - cols.min()] = line.field("g").to_numpy()
+        d2 = row_envelope(far)[cols - cols.min()]
+        out.append(np.where(d2 >= FAR, FAR, np.sqrt(d2)))
+    return out
+
+
 def _envelope_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [[] for _ in range(2)]
-        for row in batch.column("line").to_pylist():
-            cols = np.array([x["c"] for x in row])
-            dense = np.full(cols[-1] - cols[0] + 1, FAR)
-            dense[cols - cols[0]] = [x["g"] for x in row]
-            d2 = row_envelope(dense)[cols - cols[0]]
-            out[0].append(cols.tolist())
-            out[1].append(np.where(d2 >= FAR, FAR, np.sqrt(d2)).tolist())
-        others = {n: batch.column(n) for n in batch.schema.names if n != "line"}
-        yield pa.RecordBatch.from_pydict(others | {"cols": pa.array(out[0], pa.list_(pa.int64())), "dist": pa.array(out[1], pa.list_(pa.float64()))})
-
-
-def distance(mask: DataFrame, keys: list[str], by: str = "valid", wide: bool = True) -> DataFrame:
+        cols = [line.field("c").to_numpy() for line in _lines(batch.column("line"))]
+        counts = [len(x) for x in cols]
+        rows = np.repeat(np.arange(batch.num_rows), counts)
+        others = {n: batch.column(n).take(pa.array(rows)) for n in batch.schema.names if n != "line"}
+        whole = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+        yield pa.RecordBatch.from_pydict(others | {"c": whole(cols, pa.int64()), "dist": whole(_distances(batch.column("line")), pa.float64())})
+
+
+def distance(mask: DataFrame, keys: list[str], by: str = "valid") -> DataFrame:
     """(keys, r, c, dist): Euclidean pixels to the nearest pixel where by is false; the border of the grid is not false.
 
-    Two exact passes: gaps along columns by windows, then rows. wide: rows by a lower-envelope kernel, linear in their
-    length; else by built-in array functions, quadratic in it, for narrow rasters. FAR where there is no false pixel.
+    Two exact passes, both linear: gaps along columns by windows, then rows by a lower-envelope kernel. FAR where there is
+    no false pixel.
     """
     gaps = column_gaps(mask, keys, by)
-    lines = gaps.groupBy(*keys, "r").agg(F.array_sort(F.collect_list(F.struct(F.col("c").cast("long").alias("c"), "g"))).alias("line"))
-    if wide:
-        types = dict(gaps.dtypes)
-        schema = ", ".join(f"{k} {types[k]}" for k in [*keys, "r"]) + ", cols array<long>, dist array<double>"
-        packed = lines.mapInArrow(_envelope_rows, schema)
-        return packed.select(*keys, "r", F.explode(F.arrays_zip("cols", "dist")).alias("p")).select(*keys, "r", F.col("p.cols").cast(types["c"]).alias("c"), F.col("p.dist").alias("dist"))
-    best = """transform(line, a -> named_struct('c', a.c, 'dist',
-        sqrt(aggregate(line, 1e18D, (m, b) -> least(m, b.g * b.g + (a.c - b.c) * (a.c - b.c))))))"""
-    near = lines.select(*keys, "r", F.explode(F.expr(best)).alias("p"))
-    return near.select(*keys, "r", F.col("p.c").cast(dict(gaps.dtypes)["c"]).alias("c"), F.least(F.col("p.dist"), F.lit(FAR)).alias("dist"))
+    lines = gaps.groupBy(*keys, "r").agg(F.collect_list(F.struct(F.col("c").cast("long").alias("c"), "g")).alias("line"))
+    types = dict(gaps.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in [*keys, "r"]) + ", c long, dist double"
+    out = lines.select(*keys, "r", "line").mapInArrow(_envelope_rows, schema)
+    return out.select(*keys, "r", F.col("c").cast(types["c"]).alias("c"), "dist")
 
 
 def owners(dist: DataFrame) -> DataFrame:
@@ -120,11 +130,11 @@ def faultline(owner: DataFrame, cover: DataFrame) -> DataFrame:
     return both.withColumn("fault", reduce(lambda a, b: a | b, differs)).drop("key")
 
 
-def band_taper(fault: DataFrame, band_px: float, wide: bool = True) -> DataFrame:
+def band_taper(fault: DataFrame, band_px: float) -> DataFrame:
     """fault with d (distance to the fault line), in_band and taper: 1 on the line, 0 at band_px and outside the band."""
     band = max(float(band_px), 1.0)
     off = fault.select("r", "c", (~F.col("fault")).alias("off"), F.lit(0).alias("one"))
-    out = fault.join(distance(off, ["one"], "off", wide).select("r", "c", F.col("dist").alias("d")), KEY)
+    out = fault.join(distance(off, ["one"], "off").select("r", "c", F.col("dist").alias("d")), KEY)
     inside = (F.col("d") <= band) & (F.col("n") >= 2)
     return out.withColumn("in_band", inside).withColumn("taper", F.when(inside, F.greatest(F.lit(0.0), 1 - F.col("d") / band)).otherwise(0.0))
 
@@ -164,56 +174,130 @@ def any_reduce(mask: DataFrame, factor: int, by: str = "valid") -> DataFrame:
     return mask.groupBy(F.floor(F.col("r") / factor).cast("long").alias("r"), F.floor(F.col("c") / factor).cast("long").alias("c")).agg(F.bool_or(by).alias("on"))
 
 
+def _nearest_in_row(gap: np.ndarray, above: bool) -> np.ndarray:
+    """For each place of a row, the column whose site is nearest: of equals that of least row, then of least column.
+
+    The envelope gives the distance; the winner is looked for within it, so a place costs the sites around it.
+    """
+    n = len(gap)
+    sites = np.nonzero(gap < FAR)[0]
+    out = np.full(n, -1)
+    if not len(sites):
+        return out
+    reach = np.sqrt(row_envelope(gap)).astype(int) + 1
+    first, last = np.searchsorted(sites, np.arange(n) - reach), np.searchsorted(sites, np.arange(n) + reach, side="right")
+    rows = -gap if above else gap
+    for k in range(n):
+        near = sites[first[k] : last[k]]
+        cost = gap[near] ** 2 + (near - k) ** 2
+        equal = near[cost == cost.min()]
+        out[k] = equal[int(np.argmin(rows[equal]))]
+    return out
+
+
+def _fill_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per raster row: each pixel's nearest valid one, among the nearest ones above and below in every column."""
+    for batch in batches:
+        out: dict[str, list] = {"r": [], "c": [], "near": []}
+        for r, line in zip(batch.column("r").to_pylist(), _lines(batch.column("line"))):
+            c = line.field("c").to_numpy()
+            order = np.argsort(c, kind="stable")
+            cols, width = c[order], int(c.max() - c.min() + 1)
+            at = cols - cols[0]
+            up, low, uv, lv = (line.field(k).fill_null(np.nan).to_numpy()[order] for k in ("up", "low", "up_v", "low_v"))
+            above, below = (np.full(width, np.nan) for _ in range(2))
+            value_above, value_below = (np.full(width, np.nan) for _ in range(2))
+            above[at], below[at], value_above[at], value_below[at] = up, low, uv, lv
+            gap_above, gap_below = np.where(np.isnan(above), FAR, r - above), np.where(np.isnan(below), FAR, below - r)
+            picks = []
+            for gap, row, value in ((gap_above, above, value_above), (gap_below, below, value_below)):
+                k = _nearest_in_row(gap, gap is gap_above)[at]
+                d2 = np.where(k >= 0, gap[k] ** 2 + (k - at) ** 2, FAR * FAR)
+                picks.append((d2, row[k], k, value[k]))
+            (da, ra, ka, va), (db, rb, kb, vb) = picks
+            first = (da < db) | ((da == db) & ((ra < rb) | ((ra == rb) & (ka <= kb))))
+            near = np.where(np.minimum(da, db) >= FAR * FAR, np.nan, np.where(first, va, vb))
+            for k, v in zip(out, (np.full(len(cols), r), cols, near)):
+                out[k].append(v)
+        whole = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
+        yield pa.RecordBatch.from_pydict({"r": whole["r"].astype(np.int64), "c": whole["c"].astype(np.int64), "near": pa.array(whole["near"], pa.float64(), from_pandas=True)})
+
+
 def nearest_fill(px: DataFrame, band: str = "dn") -> DataFrame:
     """px with filled: each invalid pixel takes the value of its nearest valid one, the least (row, column) of equals.
 
-    Feature transform: per column the nearest valid rows on both sides, then per row the best column; null without any.
+    Feature transform: per column the nearest valid rows on both sides by windows, then per raster row the best column by a
+    lower envelope; null without any valid pixel.
     """
     down = Window.partitionBy("c").orderBy("r")
-    here = F.when(F.col("valid"), F.struct(F.col("r").alias("r"), F.col(band).alias("v")))
-    up = F.last(here, ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0))
-    low = F.first(here, ignorenulls=True).over(down.rowsBetween(0, Window.unboundedFollowing))
-    sided = px.select("r", "c", F.array(up, low).alias("sides")).select("r", "c", F.explode(F.array_distinct("sides")).alias("s")).where("s IS NOT NULL")
-    lines = sided.groupBy("r").agg(F.collect_list(F.struct("c", F.col("s.r").alias("sr"), F.col("s.v").alias("v"))).alias("line"))
-    best = F.expr("""aggregate(line, cast(null as struct<d:bigint,r:int,c:int,v:int>), (m, s) ->
-        CASE WHEN m IS NULL OR named_struct('d', cast((s.sr - r) * (s.sr - r) + (s.c - c) * (s.c - c) as bigint), 'r', cast(s.sr as int), 'c', cast(s.c as int), 'v', cast(s.v as int)) < m
-             THEN named_struct('d', cast((s.sr - r) * (s.sr - r) + (s.c - c) * (s.c - c) as bigint), 'r', cast(s.sr as int), 'c', cast(s.c as int), 'v', cast(s.v as int)) ELSE m END).v""")
-    need = px.where("NOT valid").select("r", "c").join(lines, "r", "left").select("r", "c", best.alias("near"))
-    return px.join(need, KEY, "left").withColumn("filled", F.when(F.col("valid"), F.col(band)).otherwise(F.col("near"))).drop("near")
-
-
-def trust_region(both_valid: DataFrame, margin: float, by: str = "valid", wide: bool = True) -> DataFrame:
+    row, value = F.when(F.col("valid"), F.col("r").cast("double")), F.when(F.col("valid"), F.col(band).cast("double"))
+    before, after = down.rowsBetween(Window.unboundedPreceding, 0), down.rowsBetween(0, Window.unboundedFollowing)
+    sided = px.select("r", "c", *[F.last(x, ignorenulls=True).over(before).alias(n) for x, n in ((row, "up"), (value, "up_v"))], *[F.first(x, ignorenulls=True).over(after).alias(n) for x, n in ((row, "low"), (value, "low_v"))])
+    lines = sided.groupBy(F.col("r").cast("long").alias("r")).agg(F.collect_list(F.struct(F.col("c").cast("long").alias("c"), "up", "low", "up_v", "low_v")).alias("line"))
+    near = lines.mapInArrow(_fill_rows, "r long, c long, near double")
+    kind = dict(px.dtypes)[band]
+    return px.join(near, KEY, "left").withColumn("filled", F.when(F.col("valid"), F.col(band)).otherwise(F.col("near").cast(kind))).drop("near")
+
+
+def trust_region(both_valid: DataFrame, margin: float, by: str = "valid") -> DataFrame:
     """(r, c, dist, trusted): a shift is trusted more than margin pixels from where either raster is invalid."""
     one = both_valid.select("r", "c", by, F.lit(0).alias("one"))
-    return distance(one, ["one"], by, wide).select("r", "c", "dist", (F.col("dist") > margin).alias("trusted"))
+    return distance(one, ["one"], by).select("r", "c", "dist", (F.col("dist") > margin).alias("trusted"))
+
+
+def _labelled(on: np.ndarray) -> np.ndarray:
+    """8-connected regions of a mask: for each true place the number of its region's first place, else -1."""
+    height, width = on.shape
+    edge = np.diff(np.pad(on, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    (row, start), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+    root = np.arange(len(row))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    first = np.searchsorted(row, np.arange(height + 1))
+    for r in range(1, height):
+        a, b = first[r - 1], first[r]
+        while a < first[r] and b < first[r + 1]:
+            if start[a] <= end[b] and start[b] <= end[a]:  # ends are one past: corners touch
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+            a, b = (a + 1, b) if end[a] < end[b] else (a, b + 1)
+    tops = np.array([find(k) for k in range(len(row))], np.int64)
+    out = np.full(on.shape, -1, np.int64)
+    out[on] = np.repeat(row[tops] * width + start[tops], end - start) if len(row) else 0
+    return out
+
 
+def regions(mask: DataFrame, cut: Callable[[DataFrame], DataFrame], size: int = 1024, columns: int = 1 << 31) -> DataFrame:
+    """(r, c, region) of the pixels (r, c) of mask: the number r * columns + c of the first pixel of their 8-connected region.
 
-def border_components(zero: DataFrame, checkpoint, max_rounds: int = 100_000) -> DataFrame:
+    Each tile is labelled alone by one kernel; only labels that meet across a tile's edge become links, and their
+    components are found on that small graph. cut(df) must end the lineage.
+    """
+
+    def label(_: dict, here: np.ndarray, r0: int, c0: int) -> dict[str, np.ndarray]:
+        own = _labelled(here)
+        return {"label": np.where(own >= 0, (own // here.shape[1] + r0) * columns + own % here.shape[1] + c0, -1)}
+
+    labelled = cut(tiles.map_tiles(mask.select("r", "c"), [], size, 0, label, "label long"))
+    on_edge = lambda x: F.pmod(F.col(x), F.lit(size)).isin(0, size - 1)
+    edge = labelled.where(on_edge("r") | on_edge("c"))
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 1), (1, -1), (1, 0), (1, 1))])
+    sent = edge.select("r", "c", "label", F.explode(around).alias("k")).select((F.col("r") + F.col("k.i")).alias("r"), (F.col("c") + F.col("k.j")).alias("c"), F.col("label").alias("a"))
+    links = sent.join(edge, KEY).where("a <> label").select("a", F.col("label").alias("b")).distinct()
+    roots = graph.components(links, cut).withColumnRenamed("node", "label")
+    return labelled.join(F.broadcast(roots) if roots.count() <= 1_000_000 else roots, "label", "left").select(*KEY, F.coalesce("root", "label").alias("region"))
+
+
+def border_components(zero: DataFrame, cut: Callable[[DataFrame], DataFrame], size: int = 1024) -> DataFrame:
     """(r, c, border): for zero pixels, whether their 8-connected region reaches the grid's border.
 
-    zero: r, c of zero pixels, border true for those on the border. Runs along rows are merged first, so rounds follow
-    the number of runs in a region, not of pixels; runs of neighbouring rows that touch (corners count) are linked and the
-    mark spreads with pointer doubling. checkpoint(df) must cut the lineage.
+    zero: r, c of zero pixels, border true for those on the border. cut(df) must end the lineage.
     """
-    w = Window.partitionBy("r").orderBy("c")
-    marked = zero.withColumn("__run", F.col("c") - F.row_number().over(w))
-    runs = marked.groupBy("r", "__run").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.bool_or("border").alias("border"))
-    runs = checkpoint(runs.withColumn("id", F.monotonically_increasing_id()))
-    cells = runs.select("r", "id", F.explode(F.sequence(F.floor(F.col("c0") / 64).cast("int"), F.floor((F.col("c1") + 1) / 64).cast("int"))).alias("k"), "c0", "c1")
-    below = cells.select((F.col("r") - 1).alias("r"), F.col("id").alias("other"), "k", F.col("c0").alias("d0"), F.col("c1").alias("d1"))
-    above = runs.select("r", "id", F.explode(F.sequence(F.floor(F.greatest(F.col("c0") - 1, F.lit(0)) / 64).cast("int"), F.floor((F.col("c1") + 1) / 64).cast("int"))).alias("k"), "c0", "c1")
-    touch = above.join(below, ["r", "k"]).where("c0 <= d1 + 1 AND d0 <= c1 + 1").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    links = checkpoint(touch.unionByName(touch.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    label = checkpoint(runs.select("id", F.struct((~F.col("border")).alias("inner"), F.col("id").alias("root")).alias("at")))
-    seen = -1
-    for _ in range(max_rounds):
-        spread = links.join(label, links["b"] == label["id"]).groupBy("a").agg(F.min("at").alias("near"))
-        label2 = label.join(spread, label["id"] == spread["a"], "left").select("id", F.least("at", F.coalesce("near", "at")).alias("at"))
-        jump = label2.select(F.col("id").alias("root"), F.col("at").alias("next"))
-        label = checkpoint(label2.select("id", "at", F.col("at.root").alias("root")).join(jump, "root", "left").select("id", F.least("at", F.coalesce("next", "at")).alias("at")))
-        now = label.agg(F.sum(F.xxhash64("id", "at").cast("decimal(20,0)"))).first()[0]
-        if now == seen:
-            break
-        seen = now
-    out = runs.join(label, "id").select("r", F.explode(F.sequence("c0", "c1")).alias("c"), (~F.col("at.inner")).alias("border"))
-    return out
+    found = cut(regions(zero, cut, size).join(zero.select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), "border"), KEY))
+    reach = found.where("border").select("region").distinct().withColumn("reaches", F.lit(True))
+    return found.join(reach, "region", "left").select(*KEY, F.coalesce("reaches", F.lit(False)).alias("border"))

@@ -132,22 +132,24 @@ def interiors_gate(mosaic: DataFrame, flights: DataFrame, banded: DataFrame, ban
     return out.withColumn("verdict", verdict)
 
 
-def geometry(flights: DataFrame, band_px: float, earlier: tuple[DataFrame, DataFrame] | None = None, wide: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(distances, banded): per source its distance, and per pixel owner, coverage, fault, band and taper."""
-    dist = distance(flights.select("src", *KEY, "valid"), ["src"], "valid", wide)
+def geometry(flights: DataFrame, band_px: float, cut: Callable[[DataFrame], DataFrame], earlier: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(distances, banded), both cut: per source its distance, and per pixel owner, coverage, fault, band and taper.
+
+    Each step is planned on the written result of the one before, so that no transform runs twice.
+    """
+    dist = cut(distance(flights.select("src", *KEY, "valid"), ["src"]))
     own = owners(dist)
     if earlier:
         own = recycle(own.select(*KEY, "owner"), earlier[0], earlier[1], flights).select(*KEY, "owner").join(own.select(*KEY, "best"), KEY)
-    return dist, band_taper(faultline(own, coverage(flights)), band_px, wide)
+    return dist, cut(band_taper(cut(faultline(own, coverage(flights))), band_px))
 
 
-def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame], DataFrame], res: float = 1.0, offsets: DataFrame | None = None, earlier: tuple[DataFrame, DataFrame] | None = None, wide: bool = True, geometry_only: bool = False) -> dict[str, DataFrame]:
+def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame], DataFrame], res: float = 1.0, offsets: DataFrame | None = None, earlier: tuple[DataFrame, DataFrame] | None = None, geometry_only: bool = False) -> dict[str, DataFrame]:
     """The whole stitch: ownership, then mosaic, seam statistics and gates. checkpoint(df) cuts lineage after geometry.
 
     A stitch without any fault line has no seam and is refused.
     """
-    dist, banded = geometry(flights, band_px, earlier, wide)
-    dist, banded = checkpoint(dist), checkpoint(banded)
+    dist, banded = geometry(flights, band_px, checkpoint, earlier)
     n = flights.select("src").distinct().count()
     if not banded.where("fault").limit(1).count():
         raise RuntimeError("no fault line: the sources do not meet")

@@ -24,8 +24,8 @@ def _dist_sql(name: str, table: str, keys: str, by: str, out: str) -> str:
     """Two common table expressions: column gaps, then the least over the row."""
     on = "a.r = b.r" + "".join(f" AND a.{k} = b.{k}" for k in keys.split(",") if k.strip())
     lead = "".join(f"a.{k}, " for k in keys.split(",") if k.strip())
-    return f"""{name}_g AS (SELECT {keys}r, c, {_gap_sql(by, keys)} AS g FROM {table}),
- {name} AS (SELECT {lead}a.r, a.c, least({FAR}, sqrt(min(b.g * b.g + (a.c - b.c) * (a.c - b.c)))) AS {out} FROM {name}_g a JOIN {name}_g b ON {on} GROUP BY ALL)"""
+    return f"""{name}_g AS MATERIALIZED (SELECT {keys}r, c, {_gap_sql(by, keys)} AS g FROM {table}),
+ {name} AS MATERIALIZED (SELECT {lead}a.r, a.c, least({FAR}, sqrt(min(b.g * b.g + (a.c - b.c) * (a.c - b.c)))) AS {out} FROM {name}_g a JOIN {name}_g b ON {on} GROUP BY ALL)"""
 
 
 DIST = f"{FLIGHTS_SQL}, {_dist_sql('dist', 'flights', 'src, '.replace(' ', ''), 'valid', 'dist')}"
@@ -54,9 +54,8 @@ def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _geometry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    f = _flights(spark, sf_dir)
-    dist, banded = seams.geometry(f, BAND, wide=False)
-    return f, cut_lineage(dist), cut_lineage(banded)
+    f = cut_lineage(_flights(spark, sf_dir))
+    return f, *seams.geometry(f, BAND, cut_lineage)
 
 
 @query(f"WITH {FLIGHTS_SQL}, {COVER} SELECT r, c, n FROM cover")
@@ -79,22 +78,16 @@ def edt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(out, "r c", "dist")
 
 
-@query(_EDT)
-def edt_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = geometry.distance(src.raster(spark, sf_dir).withColumn("one", F.lit(0)), ["one"], wide=False)
-    return typed(out, "r c", "dist")
-
-
 @query(f"WITH {OWNER} SELECT r, c, CAST(owner AS INTEGER) AS owner, round(best, 6) AS best FROM own")
 def owner_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = geometry.owners(geometry.distance(_flights(spark, sf_dir), ["src"], wide=False))
+    out = geometry.owners(geometry.distance(_flights(spark, sf_dir), ["src"]))
     return typed(out, "r c", "best", owner="int")
 
 
 @query(f"WITH {FAULT} SELECT r, c, CAST(owner AS INTEGER) AS owner, n, fault FROM fault")
 def faultline(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _flights(spark, sf_dir)
-    own = geometry.owners(geometry.distance(f, ["src"], wide=False))
+    own = geometry.owners(geometry.distance(f, ["src"]))
     return geometry.faultline(own, geometry.coverage(f)).select("r", "c", "owner", "n", "fault")
 
 
@@ -113,7 +106,7 @@ def ownership_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
  FROM own JOIN old USING (r, c) LEFT JOIN flights f ON f.r = own.r AND f.c = own.c AND f.src = o - 1""")
 def recycle_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _flights(spark, sf_dir)
-    own = geometry.owners(geometry.distance(f, ["src"], wide=False))
+    own = geometry.owners(geometry.distance(f, ["src"]))
     c = F.col("c")
     earlier = src.px(spark, sf_dir).select("r", "c", F.when(c < 30, 1).when(c < 34, 0).otherwise(2).cast("int").alias("owner"))
     names = spark.createDataFrame([(1, 0), (2, 1)], "owner int, src int")
@@ -141,7 +134,7 @@ def nearest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {RASTER}, {_dist_sql('e', 'ras', '', 'valid', 'd')} SELECT r, c, d > 2 AS trusted FROM e")
 def trust_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geometry.trust_region(src.raster(spark, sf_dir), 2.0, wide=False).select("r", "c", "trusted")
+    return geometry.trust_region(src.raster(spark, sf_dir), 2.0).select("r", "c", "trusted")
 
 
 @query(f"""WITH RECURSIVE {PX_SQL}, dim AS (SELECT max(r) AS mr, max(c) AS mc FROM px), zero AS (SELECT r, c, r = 0 OR c = 0 OR r = mr OR c = mc AS border FROM px, dim WHERE dn % 3 = 0),
@@ -152,7 +145,7 @@ def validity_border_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = src.height(spark, sf_dir) - 1
     border = (F.col("r") == 0) | (F.col("c") == 0) | (F.col("r") == last) | (F.col("c") == 63)
     zero = p.where("dn % 3 = 0").select("r", "c", border.alias("border"))
-    return geometry.border_components(zero, cut_lineage).select("r", "c", F.col("border").alias("nodata"))
+    return geometry.border_components(zero, cut_lineage, 32).select("r", "c", F.col("border").alias("nodata"))
 
 
 @query(f"WITH {PIXELS}, meet AS (SELECT key, unnest([k1, k3]) AS k FROM fault) SELECT CAST(least(key, k) AS INTEGER) AS a, CAST(greatest(key, k) AS INTEGER) AS b, count(*) AS n FROM meet WHERE key >= 0 AND k >= 0 AND key <> k GROUP BY 1, 2")

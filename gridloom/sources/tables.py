@@ -2,26 +2,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only where that is unset."""
+    """The folder named by spark.checkpoint.dir; a temporary one is set only where that is unset, in local mode alone."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return base.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder now: later steps and lost executors start from the files."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """df, written to the shared folder as Parquet now: later steps and lost executors start from the files, columns pruned."""
+    path = f"{shared_dir(df.sparkSession)}/gridloom-{df.sparkSession.sparkContext.applicationId}/raster-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_tiles(pixels: DataFrame, path: str, size: int) -> None:

@@ -81,8 +81,7 @@ def test_row_envelope():
 
 def test_distance_without_false_pixels(spark):
     df = spark.createDataFrame([(0, r, c, True) for r in range(3) for c in range(3)], "k int, r long, c long, valid boolean")
-    for wide in (True, False):
-        assert {x.dist for x in geometry.distance(df, ["k"], wide=wide).collect()} == {geometry.FAR}
+    assert {x.dist for x in geometry.distance(df, ["k"]).collect()} == {geometry.FAR}
 
 
 def test_border_components(spark):
@@ -95,8 +94,20 @@ def test_border_components(spark):
             seen.add((r, c))
             todo += [(i, j) for i in (r - 1, r, r + 1) for j in (c - 1, c, c + 1) if 0 <= i < 40 and 0 <= j < 70 and zero[i, j]]
     rows = [(r, c, r in (0, 39) or c in (0, 69)) for r in range(40) for c in range(70) if zero[r, c]]
-    out = geometry.border_components(spark.createDataFrame(rows, "r int, c int, border boolean"), tables.cut_lineage).collect()
-    assert len(out) == len(rows) and {(x.r, x.c) for x in out if x.border} == seen
+    for size in (1024, 16):  # one tile, then regions across many
+        out = geometry.border_components(spark.createDataFrame(rows, "r int, c int, border boolean"), tables.cut_lineage, size).collect()
+        assert len(out) == len(rows) and {(x.r, x.c) for x in out if x.border} == seen
+
+
+def test_nearest_fill_against_brute_force(spark):
+    rnd = np.random.default_rng(6)
+    for share in (0.6, 0.02, 0.0):
+        valid, dn = rnd.random((23, 31)) < share, rnd.integers(0, 255, (23, 31))
+        df = spark.createDataFrame([(r, c, int(dn[r, c]), bool(valid[r, c])) for r in range(23) for c in range(31)], "r long, c long, dn int, valid boolean")
+        sites = [(r, c) for r in range(23) for c in range(31) if valid[r, c]]
+        for x in geometry.nearest_fill(df).collect():
+            want = min(((x.r - r) ** 2 + (x.c - c) ** 2, r, c) for r, c in sites) if sites else None
+            assert x.filled == (int(dn[want[1], want[2]]) if want else None), (x, want)
 
 
 def test_split_of_three_flights():
