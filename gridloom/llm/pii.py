@@ -1,8 +1,8 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans (email, ip, card, phone) are found in every whole text. Protected entities are the distinct values and, with
-the contexts of their values pooled, the domains and the holders (local parts) of e-mail addresses. From the words around
-an entity's mentions, corpus co-occurrence estimates how much a term t tells of an entity c:
+the contexts of their values pooled, the domains of e-mail addresses. From the words around an entity's mentions, corpus
+co-occurrence estimates how much a term t tells of an entity c:
 
     disclosure(c, t) = PMI(c; t) / IC(c) = log(N n_ct / (n_c n_t)) / log(N / n_c)
 
@@ -91,8 +91,7 @@ def entities_of(kind: str, value: str) -> list[str]:
     plain = value.lower() if kind == "email" else value if kind == "ip" else "".join(_DIGITS.findall(value))
     names = [f"{kind}:{plain}"]
     if kind == "email":
-        holder, domain = plain.rsplit("@", 1)
-        names += [f"domain:{domain}", f"holder:{holder}"]
+        names.append(f"domain:{plain.rsplit('@', 1)[1]}")
     return [xxhash.xxh3_128_hexdigest(n) for n in names]
 
 
