@@ -1,12 +1,13 @@
 """Per-tile ridge calibration to a reference: sums by tile, small solves on aggregated rows, blended coefficients."""
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.pixel import tile_key
@@ -97,22 +98,98 @@ def predict(coef: Column, intercept: Column, xs: list[Column]) -> Column:
     return out
 
 
-def apply_bilinear(pixels: DataFrame, model: DataFrame, clip: DataFrame, xs: list[str], size: float, alpha: str = "alpha") -> DataFrame:
-    """pixels' id, x, y with band and value: coefficients blended between the four nearest tile centres, absent tiles left out.
+#: Tiles of a model up to which it is broadcast (a few hundred bytes each); larger models are joined by a shuffle.
+BROADCAST_TILES = 200_000
 
-    0 where alpha is 0 or no tile has weight; else clipped to the band's range and rounded half to even.
+
+def apply_bilinear(pixels: DataFrame, model: DataFrame, clip: DataFrame, xs: list[str], size: float, alpha: str = "alpha", broadcast_tiles: int = BROADCAST_TILES) -> DataFrame:
+    """(id, band, value): coefficients blended between the four nearest tile centres, absent tiles left out.
+
+    0 where alpha is 0 or no tile has weight; else clipped to the band's range and rounded half to even. Each pixel meets
+    its four tiles by four left joins and is blended in its own row: pixels don't move while the model is broadcast.
     """
+    tiles = model.groupBy("gr", "gc").agg(F.collect_list(F.struct("band", "coef", "intercept")).alias("bands"))  # a row a band
+    if tiles.count() <= broadcast_tiles:
+        tiles = F.broadcast(tiles)
     gx, gy = F.col("x") / size - 0.5, F.col("y") / size - 0.5
-    at = pixels.withColumn("fx", gx - F.floor(gx)).withColumn("fy", gy - F.floor(gy)).withColumn("c0", F.floor(gx)).withColumn("r0", F.floor(gy))
+    at = pixels.select("id", *xs, (F.col(alpha) > 0).alias("on"), (gx - F.floor(gx)).alias("fx"), (gy - F.floor(gy)).alias("fy"), F.floor(gx).alias("c0"), F.floor(gy).alias("r0"))
+    corners = [(i, j) for i in (0, 1) for j in (0, 1)]
+    for k, (i, j) in enumerate(corners):
+        near = tiles.select((F.col("gr") - i).alias("r0"), (F.col("gc") - j).alias("c0"), F.col("bands").alias(f"m{k}"))
+        at = at.join(near, ["r0", "c0"], "left")
     fx, fy = F.col("fx"), F.col("fy")
-    corner = lambda i, j: F.struct((F.col("r0") + i).alias("gr"), (F.col("c0") + j).alias("gc"), ((fy if i else 1 - fy) * (fx if j else 1 - fx)).alias("w"))
-    four = at.select("id", *xs, alpha, F.explode(F.array(*[corner(i, j) for i in (0, 1) for j in (0, 1)])).alias("k")).select("id", *xs, alpha, "k.*")
-    met = four.where(f"w > 0 AND {alpha} > 0").join(model, ["gr", "gc"])
-    value = predict(F.col("coef"), F.col("intercept"), [F.col(x) for x in xs])
-    blend = met.groupBy("id", "band").agg((F.sum(F.col("w") * value) / F.sum("w")).alias("v"))
-    clipped = blend.join(F.broadcast(clip), "band").select("id", "band", F.rint(F.least("hi", F.greatest("lo", "v"))).cast("int").alias("value"))
-    every = pixels.select("id").crossJoin(F.broadcast(clip.select("band")))  # a row for each band, a handful
-    return every.join(clipped, ["id", "band"], "left").select("id", "band", F.coalesce("value", F.lit(0)).alias("value"))
+    parts = [F.struct((F.col("fy") if i else 1 - fy).alias("wy"), (F.col("fx") if j else 1 - fx).alias("wx"), F.col(f"m{k}").alias("bands")) for k, (i, j) in enumerate(corners)]
+    every = at.crossJoin(F.broadcast(clip)).withColumn("parts", F.array(*parts))  # a row for each band, a handful
+
+    def blend(total: Column, part: Column) -> Column:
+        own = F.filter(part["bands"], lambda b: b["band"] == F.col("band"))
+        tile = F.get(own, F.lit(0))
+        w = F.when(tile.isNotNull(), part["wx"] * part["wy"]).otherwise(F.lit(0.0))
+        value = F.coalesce(predict(tile["coef"], tile["intercept"], [F.col(x) for x in xs]), F.lit(0.0))
+        return F.struct((total["v"] + w * value).alias("v"), (total["w"] + w).alias("w"))
+
+    some = F.aggregate("parts", F.struct(F.lit(0.0).alias("v"), F.lit(0.0).alias("w")), blend)
+    out = every.withColumn("sum", some)
+    clipped = F.rint(F.least("hi", F.greatest("lo", F.col("sum.v") / F.col("sum.w")))).cast("int")
+    return out.select("id", "band", F.when(F.col("on") & (F.col("sum.w") > 0), clipped).otherwise(0).alias("value"))
+
+
+def save_model(model: DataFrame, clip: DataFrame, path: str, size: float, alpha: float, xs: list[str], ys: list[str]) -> None:
+    """Tiles and band ranges as Parquet, settings as one JSON row beside them."""
+    model.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/tiles")
+    clip.coalesce(1).write.mode("overwrite").parquet(f"{path}/clip")
+    settings = json.dumps({"block_m": size, "alpha": alpha, "inputs": xs, "bands": ys})
+    model.sparkSession.createDataFrame([(settings,)], "settings string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, dict]:
+    """(tiles, band ranges, settings) as saved."""
+    return spark.read.parquet(f"{path}/tiles"), spark.read.parquet(f"{path}/clip"), json.loads(spark.read.text(f"{path}/settings").first()[0])
+
+
+#: Vegetation indices by name, of the bands red, near infrared and red edge, and where each is defined.
+INDICES = {"NDVI": ("nir", "red"), "NDRE": ("nir", "edge"), "CIre": ("nir", "edge")}
+
+
+def index_columns(bands: dict[str, Column]) -> dict[str, Column]:
+    """The three indices of a pixel's bands; null where a denominator is too small."""
+    def normal(a: Column, b: Column) -> Column:
+        return F.when(a + b > 1, (a - b) / (a + b))
+
+    out = {name: normal(bands[a], bands[b]) for name, (a, b) in INDICES.items() if name != "CIre"}
+    return out | {"CIre": F.when(bands["edge"] > 1, bands["nir"] / bands["edge"] - 1)}
+
+
+def _wide(oof: DataFrame, roles: dict[str, int], key: str) -> DataFrame:
+    """One row a pair (key) with its bands by role, as they are (t) and as predicted (p)."""
+    pick = lambda k, name: F.max(F.when(F.col("band") == k, F.col(name)))
+    aggs = [pick(k, name).alias(f"{short}_{role}") for role, k in roles.items() for short, name in (("t", "y_true"), ("p", "y_pred"))]
+    return oof.where(F.col("band").isin(*roles.values())).groupBy(key, "gr", "gc").agg(*aggs)
+
+
+def _indexed(oof: DataFrame, roles: dict[str, int], key: str) -> DataFrame:
+    """(gr, gc, name, t, p): each index of each pair where it is defined on both sides."""
+    wide = _wide(oof, roles, key)
+    true, found = (index_columns({r: F.col(f"{s}_{r}") for r in roles}) for s in "tp")
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), true[n].alias("t"), found[n].alias("p")) for n in true])
+    return wide.select("gr", "gc", F.inline(rows)).where("t IS NOT NULL AND p IS NOT NULL")
+
+
+def index_errors(oof: DataFrame, roles: dict[str, int], key: str, min_rows: int = 8) -> DataFrame:
+    """(gr, gc, name, n, mae): mean error of each vegetation index by tile, out of fold. roles: red, nir, edge to band numbers."""
+    return _indexed(oof, roles, key).groupBy("gr", "gc", "name").agg(F.count("*").alias("n"), F.avg(F.abs(F.col("t") - F.col("p"))).alias("mae")).where(F.col("n") >= min_rows)
+
+
+def index_r2(oof: DataFrame, roles: dict[str, int], key: str) -> DataFrame:
+    """(name, r2): one less squared error over spread of each index, over all pairs."""
+    t, n = F.col("t"), F.count("*")
+    sums = _indexed(oof, roles, key).groupBy("name").agg(F.sum(F.pow(t - F.col("p"), 2)).alias("sse"), (F.sum(t * t) - F.sum(t) * F.sum(t) / n).alias("sst"))
+    return sums.select("name", F.when(F.col("sst") > 0, 1 - F.col("sse") / F.col("sst")).alias("r2"))
+
+
+def mean_r2(r2: DataFrame) -> DataFrame:
+    """(mean_r2): the mean of the bands' values."""
+    return r2.agg(F.avg("r2").alias("mean_r2"))
 
 
 def out_of_fold(pairs: DataFrame, xs: list[str], ys: list[str], size: float, fold: Column, alpha: float = ALPHA, min_n: int = MIN_PIXELS, min_train: int = 5) -> DataFrame:

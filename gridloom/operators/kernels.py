@@ -1,20 +1,24 @@
 """Dense optical flow and resampling kernels in NumPy, and the tile operators that run them.
 
-Flow: Lucas-Kanade on rank-transformed images over a pyramid, after Brigot et al. 2016: at each level and radius, a few
-iterations solve the window's normal equations for the shift, warping the moving image by the one so far. Tiles carry a
-halo copied from their neighbours, so each is computed alone: one row a tile, one kernel call a row.
+Flow after Brigot et al. 2016 and the Lucas-Kanade equations: images are rank-transformed; from the coarsest image of a
+pyramid to the finest, and from the widest window to the narrowest, the least-squares shift of each window is solved a few
+times, the moving image being sampled where the shift so far points. Tiles carry a halo copied from their neighbours, so
+each is computed alone.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-TALON = 1e-8
-_BURT = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
+from .tiles import map_tiles
+
+#: Added to the diagonal of a window's equations, so that flat windows have a solution.
+DAMPING = 1e-8
+SMOOTH = (0.05, 0.25, 0.4, 0.25, 0.05)  # five-tap weights of Burt and Adelson
+#: Cubic convolution's free constant. Fixed value: the one of the common image library's cubic resampling.
+CUBIC = -0.75
 
 
 def box_mean(a: np.ndarray, radius: int) -> np.ndarray:
@@ -30,28 +34,25 @@ def box_mean(a: np.ndarray, radius: int) -> np.ndarray:
 
 
 def halved(a: np.ndarray) -> np.ndarray:
+    """The next image of the pyramid: smoothed along both axes, zeros outside, every second pixel."""
     for axis in (0, 1):
-        pad = [(0, 0), (0, 0)]
-        pad[axis] = (2, 2)
-        wide, n = np.pad(a, pad), a.shape[axis]
-        a = sum(w * np.take(wide, np.arange(k, k + n), axis) for k, w in enumerate(_BURT))
-    return a[::2, ::2]
+        a = np.apply_along_axis(np.convolve, axis, a, SMOOTH)
+        a = np.take(a, np.arange(2, a.shape[axis] - 2, 2), axis)
+    return a
 
 
 def doubled(a: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    out = np.zeros(shape)
-    big = a.repeat(2, 0).repeat(2, 1)[: shape[0], : shape[1]]
-    out[: big.shape[0], : big.shape[1]] = big
-    return out
+    """Each pixel twice in both directions, cropped to shape, zeros beyond."""
+    rows, cols = (np.arange(n) // 2 for n in shape)
+    inside = (rows < a.shape[0])[:, None] & (cols < a.shape[1])[None, :]
+    return np.where(inside, a[np.minimum(rows, a.shape[0] - 1)[:, None], np.minimum(cols, a.shape[1] - 1)[None, :]], 0.0)
 
 
 def rank(a: np.ndarray, radius: int) -> np.ndarray:
     """Neighbours in the square window strictly above the centre; outside counts as zero."""
-    wide, (h, w), out = np.pad(a, radius), a.shape, np.zeros(a.shape)
-    for i in range(2 * radius + 1):
-        for j in range(2 * radius + 1):
-            out += wide[i : i + h, j : j + w] > a
-    return out
+    side = 2 * radius + 1
+    windows = np.lib.stride_tricks.sliding_window_view(np.pad(a, radius), (side, side))
+    return sum((windows[:, :, k // side, k % side] > a).astype(float) for k in range(side * side))
 
 
 def sample_linear(a: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -62,8 +63,8 @@ def sample_linear(a: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (a[y0, x0] * (1 - fx) + a[y0, x1] * fx) * (1 - fy) + (a[y1, x0] * (1 - fx) + a[y1, x1] * fx) * fy
 
 
-def sample_cubic(a: np.ndarray, x: np.ndarray, y: np.ndarray, sharp: float = -0.5) -> np.ndarray:
-    """a at (x, y) by cubic convolution over 16 pixels, zero outside; one rounding at most follows."""
+def sample_cubic(a: np.ndarray, x: np.ndarray, y: np.ndarray, sharp: float = CUBIC) -> np.ndarray:
+    """a at (x, y) by cubic convolution over 16 pixels, zero outside."""
     x0, y0 = np.floor(x).astype(int), np.floor(y).astype(int)
 
     def weight(t: np.ndarray) -> np.ndarray:
@@ -80,80 +81,75 @@ def sample_cubic(a: np.ndarray, x: np.ndarray, y: np.ndarray, sharp: float = -0.
     return out
 
 
-def _refine(ref: np.ndarray, mov: np.ndarray, u: np.ndarray, v: np.ndarray, radius: int, turns: int) -> tuple[np.ndarray, np.ndarray]:
-    gy, gx = np.gradient(ref)
-    cols, rows = np.meshgrid(np.arange(ref.shape[1], dtype=float), np.arange(ref.shape[0], dtype=float))
-    xx, yy, xy = box_mean(gx * gx, radius) + TALON, box_mean(gy * gy, radius) + TALON, box_mean(gx * gy, radius)
-    det = xx * yy - xy * xy
-    for _ in range(turns):
-        rest = ref - sample_linear(mov, cols + u, rows + v) + u * gx + v * gy
-        bx, by = box_mean(rest * gx, radius), box_mean(rest * gy, radius)
-        with np.errstate(all="ignore"):
-            u, v = (bx * yy - by * xy) / det, (by * xx - bx * xy) / det
-        u, v = np.where(np.isfinite(u), u, 0.0), np.where(np.isfinite(v), v, 0.0)
-    return u, v
+def _window_shift(reference: np.ndarray, moving: np.ndarray, shift: np.ndarray, radius: int, turns: int) -> np.ndarray:
+    """shift (2, h, w), refined: per window, the d that minimises the sum of (grad . d - difference)^2, solved turns times."""
+    mean = lambda stack: np.stack([box_mean(layer, radius) for layer in stack])
+    slope = np.stack(np.gradient(reference)[::-1])  # along columns, along rows
+    place = np.stack(np.meshgrid(*(np.arange(float(n)) for n in reference.shape[::-1])))
+    cc, rr, cr = mean((slope[0] ** 2, slope[1] ** 2, slope[0] * slope[1]))
+    cc, rr = cc + DAMPING, rr + DAMPING
+    inverse = np.stack([np.stack([rr, -cr]), np.stack([-cr, cc])])
+    with np.errstate(all="ignore"):
+        inverse = inverse / (cc * rr - cr * cr)
+        for _ in range(turns):
+            difference = reference - sample_linear(moving, *(place + shift)) + (slope * shift).sum(axis=0)
+            shift = np.einsum("ijhw,jhw->ihw", inverse, mean(slope * difference))
+            shift = np.where(np.isfinite(shift), shift, 0.0)
+    return shift
+
+
+def _unit(a: np.ndarray) -> np.ndarray:
+    low, high = float(a.min()), float(a.max())
+    return (a - low) / (high - low) if high > low else np.zeros(a.shape)
 
 
 def flow(reference: np.ndarray, moving: np.ndarray, radii: tuple[int, ...] = (32, 24, 16, 8), iterations: int = 8, rank_radius: int = 4, levels: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(u, v) such that moving at (x + u, y + v) is reference at (x, y); levels counts the images of the pyramid."""
-    def unit(a: np.ndarray) -> np.ndarray:
-        low, high = float(a.min()), float(a.max())
-        return (a - low) / (high - low) if high > low else np.zeros(a.shape)
-
-    pairs = [(unit(reference.astype(float)), unit(moving.astype(float)))]
-    while len(pairs) < levels and min(pairs[-1][0].shape) >= 4:
-        pairs.append((halved(pairs[-1][0]), halved(pairs[-1][1])))
-    u = v = np.zeros(pairs[-1][0].shape)
-    for k, (ref, mov) in enumerate(reversed(pairs)):
-        if k:
-            u, v = 2 * doubled(u, ref.shape), 2 * doubled(v, ref.shape)
-        ref, mov = (rank(ref, rank_radius), rank(mov, rank_radius)) if rank_radius else (ref, mov)
+    pyramid = [(_unit(reference.astype(float)), _unit(moving.astype(float)))]
+    while len(pyramid) < levels and min(pyramid[-1][0].shape) >= 4:
+        pyramid.append(tuple(map(halved, pyramid[-1])))
+    shift = np.zeros((2, *pyramid[-1][0].shape))
+    for pair in reversed(pyramid):
+        if shift.shape[1:] != pair[0].shape:
+            shift = np.stack([2 * doubled(layer, pair[0].shape) for layer in shift])
+        ref, mov = (rank(image, rank_radius) if rank_radius else image for image in pair)
         for radius in radii:
-            u, v = _refine(ref, mov, u, v, radius, iterations)
-    return u, v
-
-
-def tile_rows(px: DataFrame, bands: list[str], size: int, halo: int) -> DataFrame:
-    """(tr, tc, pixels): one row a tile, the pixels of the tile and its halo as an array of (r, c, bands)."""
-    reach = lambda x: F.sequence(F.floor((F.col(x) - halo) / size).cast("long"), F.floor((F.col(x) + halo) / size).cast("long"))
-    sent = px.withColumn("tr", F.explode(reach("r"))).withColumn("tc", F.explode(reach("c")))
-    tiles = sent.groupBy("tr", "tc").agg(F.collect_list(F.struct("r", "c", *bands)).alias("pixels"))  # a tile and its halo: bounded
-    own = px.select(F.floor(F.col("r") / size).alias("tr"), F.floor(F.col("c") / size).alias("tc")).distinct()
-    return tiles.join(own, ["tr", "tc"], "left_semi")
-
-
-def _dense(pixels: list[dict], bands: list[str]) -> tuple[dict[str, np.ndarray], int, int]:
-    r, c = np.array([p["r"] for p in pixels]), np.array([p["c"] for p in pixels])
-    out = {}
-    for b in bands:
-        out[b] = np.zeros((r.max() - r.min() + 1, c.max() - c.min() + 1))
-        out[b][r - r.min(), c - c.min()] = [p[b] or 0 for p in pixels]
-    return out, int(r.min()), int(c.min())
-
-
-def dense_flow(px: DataFrame, size: int, halo: int, flow_fn: Callable = flow, **settings) -> DataFrame:
-    """(r, c, u, v) of px (r, c, reference, moving): the flow of each tile, computed with its halo."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tr, tc, pixels in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                a, r0, c0 = _dense(pixels, ["reference", "moving"])
-                u, v = flow_fn(a["reference"], a["moving"], **settings)
-                rows, cols = np.meshgrid(np.arange(u.shape[0]) + r0, np.arange(u.shape[1]) + c0, indexing="ij")
-                own = (rows // size == tr) & (cols // size == tc)
-                yield pa.RecordBatch.from_pydict({"r": rows[own].astype(np.int64), "c": cols[own].astype(np.int64), "u": u[own].astype(float), "v": v[own].astype(float)})
-
-    return tile_rows(px, ["reference", "moving"], size, halo).select("tr", "tc", "pixels").mapInArrow(run, "r long, c long, u double, v double")
-
-
-def cubic_warp(px: DataFrame, size: int, halo: int) -> DataFrame:
-    """(r, c, dn) of px (r, c, dn, u, v): dn sampled once by cubic convolution at (c + u, r + v), rounded and clipped."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tr, tc, pixels in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                a, r0, c0 = _dense(pixels, ["dn", "u", "v"])
-                rows, cols = np.meshgrid(np.arange(a["dn"].shape[0]), np.arange(a["dn"].shape[1]), indexing="ij")
-                out = np.clip(np.rint(sample_cubic(a["dn"], cols + a["u"], rows + a["v"])), 0, 255)
-                own = ((rows + r0) // size == tr) & ((cols + c0) // size == tc)
-                yield pa.RecordBatch.from_pydict({"r": (rows + r0)[own].astype(np.int64), "c": (cols + c0)[own].astype(np.int64), "dn": out[own].astype(np.int32)})
-
-    return tile_rows(px, ["dn", "u", "v"], size, halo).select("tr", "tc", "pixels").mapInArrow(run, "r long, c long, dn int")
+            shift = _window_shift(ref, mov, shift, radius, iterations)
+    return shift[0], shift[1]
+
+
+def stretched(a: np.ndarray, floor: float = -32000.0, least: int = 100) -> np.ndarray:
+    """Values between the 2nd and 98th percentile of the positive ones as 0..1; zeros with fewer than least of them."""
+    a = np.where(a <= floor, 0.0, a)
+    some = a > 0
+    if some.sum() < least:
+        return np.zeros(a.shape)
+    low, high = np.percentile(a[some], (2, 98))
+    return np.clip((a - low) / (high - low + 1e-6), 0, 1)
+
+
+def dense_flow(px: DataFrame, size: int, halo: int, flow_fn: Callable = flow, stretch: bool = False, keys: tuple[str, ...] = (), only: DataFrame | None = None, **settings) -> DataFrame:
+    """(keys, r, c, u, v) of px (keys, r, c, reference, moving): the flow of each tile, computed with its halo.
+
+    stretch: both images of a tile are stretched between their percentiles first. keys and only as map_tiles has them.
+    """
+
+    def kernel(a: dict, here: np.ndarray, r0: int, c0: int) -> dict:
+        pair = [stretched(a[k]) if stretch else a[k] for k in ("reference", "moving")]
+        u, v = flow_fn(*pair, **settings)
+        return {"u": u.astype(float), "v": v.astype(float)}
+
+    return map_tiles(px, ["reference", "moving"], size, halo, kernel, "u double, v double", keys, only)
+
+
+def cubic_warp(px: DataFrame, size: int, halo: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, r, c, dn) of px (keys, r, c, dn, u, v): dn sampled once by cubic convolution at (c + u, r + v), rounded and clipped.
+
+    Shifts of more than halo pixels need a greater halo.
+    """
+
+    def kernel(a: dict, here: np.ndarray, r0: int, c0: int) -> dict:
+        rows, cols = np.meshgrid(*(np.arange(n) for n in here.shape), indexing="ij")
+        return {"dn": np.clip(np.rint(sample_cubic(a["dn"], cols + a["u"], rows + a["v"])), 0, 255).astype(np.int32)}
+
+    return map_tiles(px, ["dn", "u", "v"], size, halo, kernel, "dn int", keys)

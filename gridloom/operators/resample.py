@@ -1,10 +1,14 @@
 """Resampling on the lattice: equi-joins on derived keys and RANGE windows, no neighbourhood joins."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .kernels import rank
+from .tiles import map_tiles
+
 KEY = ["r", "c"]
 BURT = {-2: 0.05, -1: 0.25, 0: 0.4, 1: 0.25, 2: 0.05}
 
@@ -36,7 +40,7 @@ def upsample_bilinear(coarse: DataFrame, factor: int, height: int, width: int, b
 
     Each coarse pixel is sent to the fine pixels it has weight on; their weighted values add up. No join.
     """
-    reach = F.sequence(F.lit(-factor), F.lit(2 * factor - 1))
+    reach = F.sequence(F.lit(-(factor // 2) - 1), F.lit(factor + factor // 2))  # fine pixels within one coarse pixel of its centre
 
     def part(name: str, size: int, out: str) -> tuple[Column, Column]:
         at = (F.col(out) + 0.5) / factor - 0.5
@@ -95,16 +99,13 @@ def bilinear_warp(px: DataFrame, shifts: DataFrame, height: int, width: int, ban
     return four.where("w > 0").join(src, ["sr", "sc"]).groupBy(*KEY).agg(F.sum(F.col("w") * F.col("value")).alias(band))
 
 
-def rank_transform(px: DataFrame, radius: int, band: str = "dn") -> DataFrame:
+def rank_transform(px: DataFrame, radius: int, band: str = "dn", size: int = 512) -> DataFrame:
     """(r, c, rank): neighbours in the square window strictly above the centre; pixels outside count as zero.
 
-    Rows are sent to the row bands they reach as arrays, so a pixel meets its window by one grouped row, not by a join.
+    Tiles with a halo of radius go to one kernel of shifted comparisons.
     """
-    side = 2 * radius + 1
-    lines = px.groupBy("r").agg(F.array_sort(F.collect_list(F.struct("c", F.col(band).alias("v")))).alias("line"))
-    sent = lines.select(F.explode(F.sequence(F.col("r") - radius, F.col("r") + radius)).alias("to"), "r", "line")
-    group = sent.groupBy(F.col("to").alias("r")).agg(F.max(F.when(F.col("r") == F.col("to"), F.col("line"))).alias("own"), F.flatten(F.collect_list("line")).alias("all")).where("own IS NOT NULL")
-    expr = f"""transform(own, p -> named_struct('c', p.c, 'rank',
-        size(filter(all, q -> q.v > p.v AND q.c BETWEEN p.c - {radius} AND p.c + {radius})) +
-        IF(p.v < 0, {side * side} - size(filter(all, q -> q.c BETWEEN p.c - {radius} AND p.c + {radius})), 0)))"""
-    return group.select("r", F.explode(F.expr(expr)).alias("p")).select("r", F.col("p.c").alias("c"), F.col("p.rank").alias("rank"))
+
+    def kernel(a: dict, here: np.ndarray, r0: int, c0: int) -> dict:
+        return {"rank": rank(a[band], radius).astype(np.int32)}
+
+    return map_tiles(px, [band], size, radius, kernel, "rank int")

@@ -1,6 +1,9 @@
 """Scene candidates, choice of the scene to calibrate to, and the leased work queue as queries."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,16 +46,25 @@ def pick_scene(missions: DataFrame, days: DataFrame, search_days: int, limit_pct
 
 
 def lease_audit(claims: DataFrame, lease_s: float) -> DataFrame:
-    """claims (key, worker, t) with granted: the first claim of a key, or one lease_s or more after the last granted start.
+    """claims (key, worker, t) with granted: a key's first claim, or one lease_s or more after the last granted.
 
-    A claim extends nothing unless it is granted, so each key's claims are folded in time order.
+    A claim extends nothing unless it is granted, so each key's claims are followed in time order: a streamed pass over
+    sorted rows that holds one time, however many claims a key has.
     """
-    line = claims.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("t", "worker"))).alias("line"))
-    fold = F.expr(f"""aggregate(line, named_struct('held', cast(null as double), 'out', cast(array() as array<struct<t:double,worker:string,granted:boolean>>)),
-        (s, x) -> named_struct('held', IF(s.held IS NULL OR x.t - s.held >= {lease_s}, x.t, s.held),
-                               'out', s.out || array(named_struct('t', x.t, 'worker', x.worker, 'granted', s.held IS NULL OR x.t - s.held >= {lease_s}))),
-        s -> s.out)""")
-    return line.select("key", F.explode(fold).alias("x")).select("key", "x.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = object(), 0.0
+        for batch in batches:
+            granted = []
+            for k, t in zip(batch.column("key").to_pylist(), batch.column("t").to_pylist()):
+                new = k != key or t - held >= lease_s
+                key, held = (k, t) if new else (key, held)
+                granted.append(new)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(granted, pa.bool_())], [*batch.schema.names, "granted"])
+
+    rows = claims.select("key", "worker", F.col("t").cast("double").alias("t")).repartition("key").sortWithinPartitions("key", "t", "worker")
+    types = dict(claims.dtypes)
+    return rows.mapInArrow(run, f"key {types['key']}, worker {types['worker']}, t double, granted boolean")
 
 
 def still_to_do(boxes: DataFrame, done: DataFrame, key: str) -> DataFrame:

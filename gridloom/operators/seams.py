@@ -1,18 +1,17 @@
 """Seams between owners: pairs, boxes, offset split, composite, statistics and gates."""
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels
 from .geometry import KEY, band_taper, coverage, distance, faultline, neighbours, ownership_raster, owners, recycle
 
-#: Distinct (present, measured) patterns whose coefficients are solved on the driver; more are refused.
-MAX_PATTERNS = 50_000
-
 
 def seam_pairs(fault: DataFrame) -> DataFrame:
     """(a, b, n): pairs of owners, a < b, that meet along 4-neighbours with two sources or more, and how often."""
@@ -55,26 +54,37 @@ def split_coefficients(have: list[int], measured: list[tuple[int, int]], anchor:
     return [(f, i, j, float(solved[n, k])) for n, f in enumerate(have) for k, (i, j) in enumerate(measured) if abs(solved[n, k]) > 1e-12]
 
 
+def _solve_patterns(anchor: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: dict[str, list] = {"flights": [], "measured": [], "coefs": []}
+            for flights, measured in zip(batch.column("flights").to_pylist(), batch.column("measured").to_pylist()):
+                solved = split_coefficients(flights, [(m["a"], m["b"]) for m in measured], anchor)
+                for k, v in zip(out, (flights, measured, [dict(zip(("flight", "a", "b", "coef"), x)) for x in solved])):
+                    out[k].append(v)
+            pair = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+            coef = pa.list_(pa.struct([("flight", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("coef", pa.float64())]))
+            yield pa.RecordBatch.from_pydict({"flights": pa.array(out["flights"], pa.list_(pa.int32())), "measured": pa.array(out["measured"], pair), "coefs": pa.array(out["coefs"], coef)})
+
+    return run
+
+
 def split_offsets(present: DataFrame, offsets: DataFrame, anchor: int | None = None) -> DataFrame:
     """(r, c, flight, u, v): the shift of each flight at each pixel that parts its measured pair offsets.
 
-    present: r, c, flights (sorted array). offsets: r, c, a, b, eu, ev, a < b. Pixels share a few patterns of flights and
-    pairs; the driver solves each pattern once (at most MAX_PATTERNS) and pixels meet its coefficients by a broadcast.
+    present: r, c, flights (sorted array). offsets: r, c, a, b, eu, ev, a < b. Pixels share patterns of flights and measured
+    pairs: each distinct pattern is solved once, on the executors, and pixels meet its coefficients by a join.
     """
-    measured = offsets.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("a", "b", "eu", "ev"))).alias("pairs"))
-    rows = present.join(measured, KEY).withColumn("code", F.to_json(F.struct("flights", F.transform("pairs", lambda p: F.array(p["a"], p["b"])).alias("pairs"))))
-    rows = rows.withColumn("pattern", F.xxhash64("code"))
-    patterns = rows.groupBy("pattern").agg(F.first("flights").alias("flights"), F.first("pairs").alias("pairs")).limit(MAX_PATTERNS + 1).collect()
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns of flights and pairs")
-    table = [(p["pattern"], f, i, j, k) for p in patterns for f, i, j, k in split_coefficients(p["flights"], [(x["a"], x["b"]) for x in p["pairs"]], anchor)]
-    coef = present.sparkSession.createDataFrame(table, "pattern long, flight int, a int, b int, coef double")
-    long = rows.select(*KEY, "pattern", F.explode("pairs").alias("p")).select(*KEY, "pattern", "p.*")
-    part = long.join(F.broadcast(coef), ["pattern", "a", "b"])
-    sums = part.groupBy(*KEY, "flight").agg(F.sum(F.col("coef") * F.col("eu")).alias("u"), F.sum(F.col("coef") * F.col("ev")).alias("v"))
-    every = rows.select(*KEY, F.explode("flights").alias("flight"))
-    plain = lambda x: (F.coalesce(x, F.lit(0.0)) + 0.0).alias(x)  # noqa: E731  no negative zeros
-    return every.join(sums, [*KEY, "flight"], "left").select(*KEY, "flight", plain("u"), plain("v"))
+    pair = F.struct(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"), "eu", "ev")
+    every = offsets.groupBy(*KEY).agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    rows = present.select(*KEY, F.col("flights").cast("array<int>").alias("flights")).join(every, KEY)
+    rows = rows.withColumn("measured", F.transform("pairs", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"))))
+    solved = rows.select("flights", "measured").distinct().mapInArrow(_solve_patterns(anchor), "flights array<int>, measured array<struct<a:int,b:int>>, coefs array<struct<flight:int,a:int,b:int,coef:double>>")
+    both = rows.join(solved, ["flights", "measured"])
+    offset = lambda k, name: F.filter("pairs", lambda p: (p["a"] == k["a"]) & (p["b"] == k["b"]))[0][name]
+    moved = lambda f, name: F.aggregate(F.filter("coefs", lambda k: k["flight"] == f), F.lit(0.0), lambda t, k: t + k["coef"] * offset(k, name)) + 0.0
+    one = F.transform("flights", lambda f: F.struct(f.alias("flight"), moved(f, "eu").alias("u"), moved(f, "ev").alias("v")))
+    return both.select(*KEY, F.inline(one))
 
 
 def split_misfit(offsets: DataFrame, split: DataFrame) -> DataFrame:
@@ -101,6 +111,47 @@ def composite(flights: DataFrame, dist: DataFrame, banded: DataFrame, band_px: f
     return out.select(*KEY, F.when(F.col("in_band"), blended.cast("int")).otherwise(F.coalesce(F.col("own"), F.lit(0)).cast("int")).alias(band), F.lit(255).alias("alpha"))
 
 
+def measure_pairs(flights: DataFrame, banded: DataFrame, cut: Callable[[DataFrame], DataFrame], block: int = 512, reach: int = 512, halo: int = 64, band: str = "dn", flow_fn: Callable = kernels.flow, **settings) -> DataFrame:
+    """(r, c, a, b, eu, ev): the flow between the two flights of each seam, at band pixels where both are valid.
+
+    Each pair is measured only in the blocks that its fault line reaches, block by block with a halo; both flights of a
+    block are stretched alike first. flight b at (c + eu, r + ev) shows what flight a shows at (c, r).
+    """
+    boxes = cut(seam_boxes(fault_pixels(banded), block, reach, halo))
+    pairs = boxes.select(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"), F.col("br").cast("long").alias("tr"), F.col("bc").cast("long").alias("tc"))
+    few = F.broadcast(pairs.select("a", "b").distinct())
+    rows = flights.where("valid").select(F.col("src").cast("int").alias("src"), *KEY, F.col(band).cast("double").alias("v"))
+    one = rows.join(few, F.col("src") == F.col("a")).select("a", "b", *KEY, F.col("v").alias("reference"))
+    both = one.join(rows.select(F.col("src").alias("b"), *KEY, F.col("v").alias("moving")), ["b", *KEY])
+    found = kernels.dense_flow(both, block, halo, flow_fn, True, ("a", "b"), pairs, **settings)
+    inside = banded.where("in_band").select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"))
+    return found.join(inside, KEY, "left_semi").select(*KEY, "a", "b", F.col("u").alias("eu"), F.col("v").alias("ev"))
+
+
+def moved_sources(flights: DataFrame, split: DataFrame, banded: DataFrame, size: int = 512, halo: int = 64, band: str = "dn") -> DataFrame:
+    """flights (src, r, c, band, valid) with band sampled anew inside the seam band: once, by cubic convolution, at the flight's
+    shift times the taper, so that pixels move fully on the fault line and not at all at the band's edge."""
+    taper = banded.where("in_band").select(*KEY, "taper")
+    field = split.join(taper, KEY).select(F.col("flight").alias("src"), *KEY, (F.col("u") * F.col("taper")).alias("u"), (F.col("v") * F.col("taper")).alias("v"))
+    kind = dict(flights.dtypes)
+    rows = flights.select(F.col("src").cast("int").alias("src"), *KEY, F.col(band).alias("dn"), "valid")
+    near = F.broadcast(_blocks(taper, size, halo)) if size >= 256 else _blocks(taper, size, halo)  # a block list is a 65,536th of its pixels
+    block = lambda x: F.floor(F.col(x) / size).cast("long")
+    used = rows.withColumn("tr", block("r")).withColumn("tc", block("c")).join(near, ["tr", "tc"], "left_semi").drop("tr", "tc")
+    at = used.where("valid").join(field, ["src", *KEY], "left").select("src", *KEY, "dn", F.coalesce("u", F.lit(0.0)).alias("u"), F.coalesce("v", F.lit(0.0)).alias("v"))
+    warped = kernels.cubic_warp(at, size, halo, ("src",)).withColumnRenamed("dn", "moved")
+    some = field.where("u <> 0 OR v <> 0").select("src", *KEY).withColumn("shifts", F.lit(True))
+    out = rows.join(warped, ["src", *KEY], "left").join(some, ["src", *KEY], "left")
+    value = F.when(F.col("shifts"), F.coalesce("moved", "dn")).otherwise(F.col("dn"))
+    return out.select(F.col("src").cast(kind["src"]).alias("src"), *KEY, value.cast(kind[band]).alias(band), "valid")
+
+
+def _blocks(pixels: DataFrame, size: int, halo: int) -> DataFrame:
+    """(tr, tc): blocks that a pixel or its halo reaches."""
+    reach = lambda x: F.sequence(F.floor((F.col(x) - halo) / size).cast("long"), F.floor((F.col(x) + halo) / size).cast("long"))
+    return pixels.select(F.explode(reach("r")).alias("tr"), "c").select("tr", F.explode(reach("c")).alias("tc")).distinct()
+
+
 def seam_statistics(pixels: DataFrame, misfit: DataFrame, res: float, far_cm: float = 50.0) -> DataFrame:
     """(a, b, length_m, med_offset_cm, far_m, residual_cm): length of each seam, its offsets and the misfit of their split."""
     size = F.hypot("eu", "ev") * res * 100
@@ -144,10 +195,11 @@ def geometry(flights: DataFrame, band_px: float, cut: Callable[[DataFrame], Data
     return dist, cut(band_taper(cut(faultline(own, coverage(flights))), band_px))
 
 
-def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame], DataFrame], res: float = 1.0, offsets: DataFrame | None = None, earlier: tuple[DataFrame, DataFrame] | None = None, geometry_only: bool = False) -> dict[str, DataFrame]:
-    """The whole stitch: ownership, then mosaic, seam statistics and gates. checkpoint(df) cuts lineage after geometry.
+def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame], DataFrame], res: float = 1.0, offsets: DataFrame | None = None, earlier: tuple[DataFrame, DataFrame] | None = None, geometry_only: bool = False, measure: dict | None = None, anchor: int | None = None) -> dict[str, DataFrame]:
+    """The whole stitch: ownership, pair offsets, their split, the mosaic of shifted sources, seam statistics and gates.
 
-    A stitch without any fault line has no seam and is refused.
+    offsets (r, c, a, b, eu, ev) may be given; else they are measured by flow with the settings in measure, or are zero if
+    measure is None. checkpoint(df) cuts lineage after each part. A stitch without any fault line has no seam and is refused.
     """
     dist, banded = geometry(flights, band_px, checkpoint, earlier)
     n = flights.select("src").distinct().count()
@@ -157,13 +209,18 @@ def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame],
     if geometry_only:
         return out
     pixels = fault_pixels(banded)
-    if offsets is None:
+    still = offsets is None and measure is None
+    if still:
         offsets = pixels.select(*KEY, "a", "b", F.lit(0.0).alias("eu"), F.lit(0.0).alias("ev"))
+    elif offsets is None:
+        offsets = checkpoint(measure_pairs(flights, banded, checkpoint, **measure))
     present = flights.where("valid").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.col("src").cast("int"))).alias("flights"))
-    split = split_offsets(present.join(banded.where("in_band").select(*KEY), KEY, "left_semi"), offsets)
-    mosaic = composite(flights, dist, banded, band_px)
+    split = checkpoint(split_offsets(present.join(banded.where("in_band").select(*KEY), KEY, "left_semi"), offsets, anchor))
+    tiling = {k: v for k, v in (measure or {}).items() if k == "halo"} | ({"size": measure["block"]} if measure and "block" in measure else {})
+    moved = flights if still else checkpoint(moved_sources(flights, split, banded, **tiling))
+    mosaic = composite(moved, dist, banded, band_px)
     stats = seam_statistics(pixels, split_misfit(offsets, split), res)
-    return out | {"mosaic": mosaic, "split": split, "seams": stats, "tripwire": tripwire(stats), "interiors": interiors_gate(mosaic, flights, banded)}
+    return out | {"mosaic": mosaic, "offsets": offsets, "split": split, "seams": stats, "tripwire": tripwire(stats), "interiors": interiors_gate(mosaic, flights, banded)}
 
 
 def all_pairs_of(flights: list[int]) -> list[tuple[int, int]]:

@@ -42,16 +42,24 @@ def dense(rows: pa.StructScalar | pa.ListScalar, bands: list[str]) -> tuple[dict
     return out, here, r0, c0
 
 
-def map_tiles(px: DataFrame, bands: list[str], size: int, halo: int, kernel: Callable[[dict[str, np.ndarray], np.ndarray, int, int], dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """(r, c, schema) of each pixel in px: kernel gets a tile with its halo and gives arrays of that shape; the halo is cut off."""
+def map_tiles(px: DataFrame, bands: list[str], size: int, halo: int, kernel: Callable[[dict[str, np.ndarray], np.ndarray, int, int], dict[str, np.ndarray]], schema: str, keys: tuple[str, ...] = (), only: DataFrame | None = None) -> DataFrame:
+    """(keys, r, c, schema) of each pixel in px: kernel gets a tile with its halo and gives arrays of that shape; the halo is cut off.
+
+    keys, if given, are columns by which rasters are told apart; only, if given, lists the tiles (keys, tr, tc) to make.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tr, tc, rows in zip(batch.column("tr").to_pylist(), batch.column("tc").to_pylist(), batch.column("rows")):
+            for k, (tr, tc, rows) in enumerate(zip(batch.column("tr").to_pylist(), batch.column("tc").to_pylist(), batch.column("rows"))):
                 arrays, here, r0, c0 = dense(rows, bands)
                 out = kernel(arrays, here, r0, c0)
                 at_r, at_c = np.meshgrid(np.arange(here.shape[0]) + r0, np.arange(here.shape[1]) + c0, indexing="ij")
                 own = here & (at_r // size == tr) & (at_c // size == tc)
-                yield pa.RecordBatch.from_pydict({"r": at_r[own].astype(np.int64), "c": at_c[own].astype(np.int64)} | {k: v[own] for k, v in out.items()})
+                named = {key: batch.column(key).take(pa.array(np.full(int(own.sum()), k))) for key in keys}
+                yield pa.RecordBatch.from_pydict(named | {"r": at_r[own].astype(np.int64), "c": at_c[own].astype(np.int64)} | {k: v[own] for k, v in out.items()})
 
-    return tile_rows(px, bands, size, halo).select("tr", "tc", "rows").mapInArrow(run, f"r long, c long, {schema}")
+    tiles = tile_rows(px, bands, size, halo, keys)
+    if only is not None:
+        tiles = tiles.join(F.broadcast(only), [*keys, "tr", "tc"], "left_semi")
+    types = dict(px.dtypes)
+    return tiles.select(*keys, "tr", "tc", "rows").mapInArrow(run, ", ".join([*(f"{k} {types[k]}" for k in keys), "r long", "c long", schema]))

@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cells, kernels
+from ..operators import kernels, seams
+from ..operators import register as reg
 from ..sources import adapters as src
+from ..sources.tables import cut_lineage
 from .registry import query
 
 SETTINGS = {"radii": (8, 4), "iterations": 4, "rank_radius": 2, "levels": 2}
@@ -31,10 +33,15 @@ def cubic_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measure, warp and score: cells with agreement before and after, and the mean shift."""
-    pair = _pair(spark, sf_dir)
-    shift = kernels.dense_flow(pair, 64, 16, **SETTINGS)
-    moved = pair.select("r", "c", F.coalesce("moving", F.lit(0)).alias("dn")).join(shift, ["r", "c"])
-    after = kernels.cubic_warp(moved, 64, 16).withColumnRenamed("dn", "after")
-    scored = cells.quality_cells(pair.withColumnRenamed("moving", "before").join(after, ["r", "c"]).join(shift, ["r", "c"]), 8)
-    return scored.select("crow", "ccol", F.round("r_before", 3).alias("r_before"), F.round("r_after", 3).alias("r_after"), F.round("mean_u", 3).alias("mean_u"), F.round("mean_v", 3).alias("mean_v"))
+    """The whole registration: fill, stretch, flow, trust, keep, one warp; cells with agreement before and after, and the shift."""
+    pair = _pair(spark, sf_dir).select("r", "c", "reference", (F.col("reference") % 17 != 0).alias("ref_valid"), F.coalesce("moving", F.lit(0)).alias("moving"), F.col("moving").isNotNull().alias("mov_valid"))
+    out = reg.register(cut_lineage(pair), src.height(spark, sf_dir), 64, cut_lineage, 64, 16, 0.5, 8, **SETTINGS)["cells"]
+    return out.select("crow", "ccol", *[F.round(x, 3).alias(x) for x in ("r_before", "r_after", "mean_u", "mean_v")])
+
+
+@query()
+def seam_merge_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole stitch with the flow of each seam's pair, its split and the shifted sources."""
+    flights = cut_lineage(src.flights(spark, sf_dir))
+    out = seams.merge(flights, 6.0, cut_lineage, measure={"block": 64, "reach": 32, "halo": 16} | SETTINGS)["mosaic"]
+    return out.select("r", "c", "dn", "alpha")

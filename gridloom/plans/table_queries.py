@@ -173,7 +173,7 @@ def union_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(g.height, g.width, g.x0, g.y0)], "height long, width long, x0 double, y0 double")
 
 
-@query(f"WITH {HEADERS} SELECT a.src, count(*) AS n FROM head a JOIN head b ON a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy AND a.src // 100 = b.src // 100 GROUP BY a.src")
+@query(f"WITH {HEADERS} SELECT a.src, count(*) AS n FROM head a JOIN head b ON a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy GROUP BY a.src")
 def covers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of each box with all boxes. The SQL looks only inside hundreds of src: it tells less from 100 sources on."""
     return scenes.count_overlaps(_headers(spark, sf_dir), "src")

@@ -10,6 +10,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -45,12 +46,13 @@ class TileReader(DataSourceReader):
         size = self.grid["size"]
         return [Tile(r, c) for r in range(r0 // size, r1 // size + 1) for c in range(c0 // size, c1 // size + 1) if os.path.exists(f"{self.path}/{r}_{c}.npy")]
 
-    def read(self, tile: Tile) -> Iterator[tuple]:
+    def read(self, tile: Tile) -> Iterator[pa.RecordBatch]:
         r0, r1, c0, c1 = self.window
         data, size = np.load(f"{self.path}/{tile.row}_{tile.column}.npy"), self.grid["size"]
         rows, cols = np.meshgrid(np.arange(data.shape[1]) + tile.row * size, np.arange(data.shape[2]) + tile.column * size, indexing="ij")
         keep = (rows >= r0) & (rows <= r1) & (cols >= c0) & (cols <= c1)
-        yield from zip(rows[keep].tolist(), cols[keep].tolist(), *(b[keep].tolist() for b in data))
+        columns = [pa.array(rows[keep].astype(np.int64)), pa.array(cols[keep].astype(np.int64)), *(pa.array(b[keep].astype(float)) for b in data)]
+        yield pa.RecordBatch.from_arrays(columns, names=self.names)
 
 
 class TileSource(DataSource):

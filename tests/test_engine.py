@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.grid import Grid
-from gridloom.operators import calibrate, geometry, kernels, scenes, seams
+from gridloom.operators import calibrate, geometry, kernels, register, scenes, seams
 from gridloom.plans import catalog, survey
 from gridloom.sources import bands, tables, tiles
 from gridloom.streaming import cells as stream_cells
@@ -123,6 +123,83 @@ def test_merge_refuses_without_seam(spark):
         seams.merge(spark.createDataFrame(rows, "src int, r long, c long, dn int, valid boolean"), 2, tables.cut_lineage)
 
 
+SMALL = {"radii": (8, 4), "iterations": 6, "rank_radius": 2, "levels": 2}
+
+
+def shifted_texture(big, h, w, u, v, pad=20):
+    cols, rows = np.meshgrid(np.arange(float(w)), np.arange(float(h)))
+    return np.clip(np.rint(kernels.sample_linear(big, cols + pad - u, rows + pad - v)), 0, 255).astype(int)
+
+
+def test_stitch_shifts_sources_inside_the_band_only(spark):
+    """Flights whose content is moved: the measured split finds the moves, the band agrees, the interiors stay as they were."""
+    h, w, big = 96, 120, texture(140, 170, 5)
+    moves = {0: (0.0, 0.0), 1: (2.0, -1.0)}
+    image = {s: shifted_texture(big, h, w, u, v) for s, (u, v) in moves.items()}
+    valid = {0: lambda r, c: c < 75, 1: lambda r, c: c >= 45}
+    rows = [(s, r, c, int(image[s][r, c]), valid[s](r, c)) for s in image for r in range(h) for c in range(w)]
+    flights = spark.createDataFrame(rows, "src int, r long, c long, dn int, valid boolean")
+    out = seams.merge(flights, 8, tables.cut_lineage, measure={"block": 64, "reach": 32, "halo": 24} | SMALL)
+    split = out["split"].groupBy("flight").agg(F.median("u").alias("u"), F.median("v").alias("v")).collect()
+    found = {x.flight: (x.u, x.v) for x in split}
+    assert abs(found[1][0] - found[0][0] - 2) < 0.3 and abs(found[1][1] - found[0][1] + 1) < 0.3
+    assert out["interiors"].first().verdict == "identical" and out["tripwire"].first().passed
+    still = seams.merge(flights, 8, tables.cut_lineage)["mosaic"]
+    truth = kernels.sample_linear(big, *np.meshgrid(np.arange(float(w)) + 20 - 1.0, np.arange(float(h)) + 20 + 0.5))  # midway between both
+    band = [(r, c) for r in range(12, h - 12) for c in (59, 60)]
+    error = lambda m: np.mean([abs(m[k] - truth[k]) for k in band])
+    moved, before = ({(x.r, x.c): x.dn for x in m.collect()} for m in (out["mosaic"], still))
+    assert error(moved) < 0.6 * error(before)
+    with pytest.raises(NotImplementedError):
+        register.register_by_chips(engine="chips")
+
+
+def test_registration_chain(spark):
+    """A known move is measured, invalid ground is kept out, and cells agree afterwards."""
+    h, w, big = 96, 112, texture(140, 160, 8)
+    ref, mov = shifted_texture(big, h, w, 0, 0), shifted_texture(big, h, w, 3.3, -1.6)
+    rows = [(r, c, int(ref[r, c]), not (r < 10 and c < 10), int(mov[r, c]) if c < 100 else 0, c < 100) for r in range(h) for c in range(w)]
+    pair = spark.createDataFrame(rows, "r long, c long, reference int, ref_valid boolean, moving int, mov_valid boolean")
+    out = register.register(pair, h, w, tables.cut_lineage, 64, 24, 4.0, 16, **SMALL)
+    cells_ = [x for x in out["cells"].collect() if x.r_after is not None and 1 <= x.crow <= 4 and 1 <= x.ccol <= 4]
+    assert len(cells_) == 16 and np.median([x.r_after for x in cells_]) > 0.97 and all(x.r_after > x.r_before for x in cells_)
+    assert abs(np.median([x.mean_u for x in cells_]) - 3.3) < 0.25 and abs(np.median([x.mean_v for x in cells_]) + 1.6) < 0.25
+    alpha = {(x.r, x.c): (x.alpha, x.dn) for x in out["moved"].collect()}
+    assert len(alpha) == h * w and all(alpha[r, 111] == (0, 0) for r in range(h)) and alpha[40, 40][0] == 255
+
+
+def test_model_files_and_index_errors(spark, tmp_path):
+    rnd = np.random.default_rng(1)
+    rows = []
+    for k in range(240):
+        x, y, d = rnd.uniform(0, 2), rnd.uniform(0, 1), rnd.uniform(50, 200, 3)
+        rows.append((k, float(x), float(y), *map(float, d), *map(float, d @ rnd.uniform(0.9, 1.1, (3, 3)) / 3 + rnd.normal(0, 3, 3)), k % 5))
+    df = spark.createDataFrame(rows, "id long, x double, y double, a double, b double, e double, red double, nir double, edge double, fold int")
+    xs, ys = ["a", "b", "e"], ["red", "nir", "edge"]
+    model, clip = calibrate.fit_tiles(df, xs, ys, 1.0), calibrate.clip_range(df, ys)
+    calibrate.save_model(model, clip, str(tmp_path / "m"), 1.0, calibrate.ALPHA, xs, ys)
+    back, ranges, settings = calibrate.load_model(spark, str(tmp_path / "m"))
+    assert settings == {"block_m": 1.0, "alpha": calibrate.ALPHA, "inputs": xs, "bands": ys} and back.exceptAll(model).count() == 0
+    pixels = df.withColumn("alpha", F.lit(255))
+    got = [sorted(map(tuple, calibrate.apply_bilinear(pixels, back, ranges, xs, 1.0, broadcast_tiles=n).collect())) for n in (100, 0)]
+    assert got[0] == got[1] and len(got[0]) == 720
+    oof = calibrate.out_of_fold(df, xs, ys, 1.0, F.col("fold"))
+    wide: dict = {}
+    for r in oof.collect():
+        wide.setdefault((r.id, r.gr, r.gc), {})[ys[r.band]] = (r.y_true, r.y_pred)
+    index = lambda b, k: {"NDVI": (b["nir"][k] - b["red"][k]) / (b["nir"][k] + b["red"][k]), "NDRE": (b["nir"][k] - b["edge"][k]) / (b["nir"][k] + b["edge"][k]), "CIre": b["nir"][k] / b["edge"][k] - 1}
+    want: dict = {}
+    for (_, gr, gc), b in wide.items():
+        t, p = index(b, 0), index(b, 1)
+        for n in t:
+            want.setdefault((gr, gc, n), []).append(abs(t[n] - p[n]))
+    roles = {"red": 0, "nir": 1, "edge": 2}
+    errors = {(r.gr, r.gc, r.name): (r.n, r.mae) for r in calibrate.index_errors(oof, roles, "id").collect()}
+    assert errors.keys() == want.keys() and all(errors[k][0] == len(v) and math.isclose(errors[k][1], np.mean(v)) for k, v in want.items())
+    assert {r.name for r in calibrate.index_r2(oof, roles, "id").collect()} == {"NDVI", "NDRE", "CIre"}
+    assert calibrate.mean_r2(calibrate.pooled_r2(oof)).first().mean_r2 > 0.5
+
+
 def test_ridge_with_four_features(spark):
     rnd = np.random.default_rng(0)
     x, w = rnd.normal(size=(60, 4)), np.array([1.0, -2.0, 0.5, 3.0])
