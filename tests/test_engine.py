@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.grid import Grid
-from gridloom.operators import calibrate, geometry, kernels, register, scenes, seams
+from gridloom.operators import calibrate, geometry, kernels, register, scenes, seams, vector
 from gridloom.plans import catalog, survey
 from gridloom.sources import bands, tables, tiles
 from gridloom.streaming import cells as stream_cells
@@ -313,3 +313,35 @@ def test_overlaps_cross_hundreds(spark):
     con = duckdb.connect()
     boxes = "SELECT l_suppkey, min(l_partkey) - 0.25 AS x0, max(l_partkey) + 0.25 AS x1, min(l_quantity) AS y0, max(l_quantity) + 3.5 AS y1 FROM '/root/testdata/sf0.1/lineitem.parquet' GROUP BY 1"
     assert got == con.execute(f"WITH b AS ({boxes}) SELECT count(*) FROM b, b o WHERE b.x0 < o.x1 AND o.x0 < b.x1 AND b.y0 < o.y1 AND o.y0 < b.y1").fetchone()[0]
+
+
+def test_outlines_of_labels(spark, tmp_path):
+    """Areas, parts and holes of random label grids are those of counting; GeoJSON goes out and comes back."""
+    rnd = np.random.default_rng(3)
+    grid = Grid(100.0, 50.0, 0.5, 14, 17)
+    lab = rnd.integers(-1, 3, (14, 17))
+    lab[3:9, 3:9] = 1
+    lab[5:7, 5:7] = -1  # a hole
+    df = spark.createDataFrame([(r, c, int(lab[r, c])) for r in range(14) for c in range(17)], "r long, c long, label int")
+    for row in vector.polygons(df, grid).collect():
+        shape = json.loads(row.coordinates)
+        assert math.isclose(row.area, (lab == row.label).sum() * 0.25) and row.parts == len(shape)
+        inside = lambda x, y: sum(odd(ring, x, y) for part in shape for ring in part) % 2 == 1  # noqa: B023, E731
+
+        def odd(ring, x, y):
+            return sum((a[1] > y) != (b[1] > y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in zip(ring, ring[1:])) % 2
+
+        got = np.array([[inside(100 + (c + 0.5) * 0.5, 50 - (r + 0.5) * 0.5) for c in range(17)] for r in range(14)])
+        assert (got == (lab == row.label)).all() and all(ring[0] == ring[-1] for part in shape for ring in part)
+    line = [(0, 0), (0, 5), (1, 10), (0, 15), (0, 20), (20, 20), (20, 0)]
+    assert vector.simplified(line, 2.0) == [(0, 0), (0, 20), (20, 20), (20, 0)] and vector.simplified(line, 0.5) == [(0, 0), (1, 10), (0, 20), (20, 20), (20, 0)]
+    flights = spark.createDataFrame([(s, r, c, (c < 20 if s == 0 else c >= 12) and c != 5) for s in (0, 1) for r in range(24) for c in range(32)], "src int, r long, c long, valid boolean")
+    out = vector.boundaries(flights, ["north", "south"], Grid(0.0, 24.0, 1.0, 24, 32), 2, tables.cut_lineage)
+    areas = {x.name: (x.area, x.parts) for x in out["seams"].collect()}
+    assert areas == {"north": (16 * 24.0, 1), "south": (16 * 24.0, 1)}
+    assert {x.name: x.area for x in out["hulls"].collect()} == {"north": 20 * 24.0, "south": 20 * 24.0}
+    with pytest.raises(ValueError):
+        vector.boundaries(flights, ["one"], grid, 2, tables.cut_lineage)
+    assert vector.write_geojson(out["seams"], str(tmp_path / "s.geojson")) == 2
+    back = vector.read_geojson(spark, str(tmp_path / "s.geojson")).collect()
+    assert {x.properties["name"] for x in back} == {"north", "south"} and all(x.kind == "MultiPolygon" and json.loads(x.coordinates) for x in back)
