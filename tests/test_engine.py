@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.grid import Grid
 from gridloom.operators import calibrate, geometry, kernels, register, scenes, seams, vector
 from gridloom.plans import catalog, survey
-from gridloom.sources import bands, tables, tiles
+from gridloom.sources import bands, geotiff, tables, tiles
 from gridloom.streaming import cells as stream_cells
 
 DATA = "/root/testdata/sf0.001"
@@ -345,3 +345,44 @@ def test_outlines_of_labels(spark, tmp_path):
     assert vector.write_geojson(out["seams"], str(tmp_path / "s.geojson")) == 2
     back = vector.read_geojson(spark, str(tmp_path / "s.geojson")).collect()
     assert {x.properties["name"] for x in back} == {"north", "south"} and all(x.kind == "MultiPolygon" and json.loads(x.coordinates) for x in back)
+
+
+def test_geotiff_round_trip(spark, tmp_path):
+    rnd = np.random.default_rng(5)
+    for dtype in ("uint8", "int16", "float32"):
+        data = rnd.integers(0, 200, (4, 75, 90)).astype(dtype)
+        data[:, :32, 32:64] = 0  # a block that is left out
+        path = str(tmp_path / f"{dtype}.tif")
+        geotiff.write(path, data, 0.05, 1000.0, 2000.0, ["R", "G & B", "N", "alpha"], alpha=True, nodata=-5, tags={"acquisitionStartDate": "2024-05-06"}, block=32)
+        layout = geotiff.open_layout(path)
+        assert (geotiff.read_window(path) == data).all() and (geotiff.read_window(path, 30, 40, 60, 89) == data[:, 30:41, 60:]).all()
+        assert layout.header.names == ("R", "G & B", "N", "alpha") and layout.header.alpha_tags == (4,) and layout.nodata == -5
+        assert (layout.header.res, layout.header.x0, layout.header.y0) == (0.05, 1000.0, 2000.0) and bands.date_of(dict(layout.header.tags)) == "2024-05-06"
+    geotiff.register(spark)
+    read = spark.read.format("gridloom_geotiff").option("path", str(tmp_path / "uint8.tif"))
+    data = geotiff.read_window(str(tmp_path / "uint8.tif")).astype(float)
+    assert read.load().columns == ["r", "c", "band_1", "G & B", "N", "alpha"] and read.load().agg(F.sum("N")).first()[0] == data[2].sum()
+    window = read.option("r0", "33").option("r1", "50").option("c0", "5").option("c1", "20").load()
+    assert window.rdd.getNumPartitions() == 1 and window.agg(F.sum("band_1")).first()[0] == data[0, 33:51, 5:21].sum()
+    heads = geotiff.scan_headers(spark, [str(tmp_path / f"{d}.tif") for d in ("uint8", "int16")]).collect()
+    assert [(h["count"], h.res, h.tags["acquisitionStartDate"]) for h in heads] == [(4, 0.05, "2024-05-06")] * 2
+
+
+def test_geotiff_strips_in_other_orders(tmp_path):
+    """A big-endian file of uncompressed planar strips, as other writers make them."""
+    import struct
+
+    data = np.arange(2 * 5 * 7, dtype=">u2").reshape(2, 5, 7)
+    strips = [data[b, r : r + 2].tobytes() for b in range(2) for r in (0, 2, 4)]
+    at = [8 + sum(map(len, strips[:k])) for k in range(6)]
+    pixels = b"".join(strips)
+    rows = [(256, 3, [7]), (257, 3, [5]), (258, 3, [16, 16]), (259, 3, [1]), (273, 4, at), (277, 3, [2]), (278, 3, [2]), (279, 4, [len(s) for s in strips]), (284, 3, [2])]
+    body, tail, start = struct.pack(">H", len(rows)), b"", 8 + len(pixels)
+    for tag, kind, values in rows:
+        raw = struct.pack(f">{len(values)}{'H' if kind == 3 else 'I'}", *values)
+        here = raw.ljust(4, b"\0") if len(raw) <= 4 else struct.pack(">I", start + 2 + 12 * len(rows) + 4 + len(tail))
+        tail += b"" if len(raw) <= 4 else raw
+        body += struct.pack(">HHI", tag, kind, len(values)) + here
+    path = tmp_path / "s.tif"
+    path.write_bytes(struct.pack(">2sHI", b"MM", 42, start) + pixels + body + struct.pack(">I", 0) + tail)
+    assert (geotiff.read_window(str(path)) == data).all() and (geotiff.read_window(str(path), 3, 4, 2, 5) == data[:, 3:5, 2:6]).all()
