@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..grid import Grid
+
 KEY = ["r", "c"]
 SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
@@ -100,3 +102,27 @@ def texture_cells(product: DataFrame, anchor: DataFrame, cell: int, block: int,
     cells = rows.groupBy(cell_of(F.col("r"), cell).alias("crow"), cell_of(F.col("c"), cell).alias("ccol"))
     out = cells.agg(*six_sums(F.col("x"), F.col("y"), where=F.col("mag") > F.col("mid")), (F.lit(1.0) - F.count("x") / F.count("*")).alias("miss"))
     return out.select("crow", "ccol", "n", F.when(F.col("n") >= min_n, pearson()).alias("r"), "miss")
+
+
+def registration_cells(product: DataFrame, product_grid: Grid, anchor: DataFrame, anchor_grid: Grid, cell_m: float, block_m: float, min_n: int = 500, like: Grid | None = None, band: str = "dn") -> DataFrame:
+    """texture_cells() of two rasters on their own grids; cells lie on the lattice of like, else of the anchor.
+
+    A cell must be whole pixels and all grids on one lattice; a block is rounded to whole cells, one at least. Rasters that
+    share no valid pixel are refused.
+    """
+    base = like or anchor_grid
+    cell = cell_m / anchor_grid.res
+    if abs(cell - round(cell)) > 1e-6 or round(cell) < 1:
+        raise ValueError(f"a cell of {cell_m} m is not whole pixels of {anchor_grid.res} m")
+    cell = round(cell)
+    block = max(1, round(block_m / anchor_grid.res / cell)) * cell
+    keyed = []
+    for rows, grid in ((product, product_grid), (anchor, anchor_grid)):
+        moved = base.shift_to(grid)
+        if moved is None:
+            raise ValueError("the rasters are not on one lattice")
+        keyed.append(rows.withColumn("r", F.col("r") + moved[0]).withColumn("c", F.col("c") + moved[1]))
+    valid = [x.where("valid").select(*KEY) for x in keyed]
+    if not valid[0].join(valid[1], KEY, "left_semi").limit(1).count():
+        raise ValueError("the rasters do not overlap")
+    return texture_cells(*keyed, cell, block, min_n, band)

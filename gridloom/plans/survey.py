@@ -166,3 +166,30 @@ def publish_file(source: str, target: str) -> None:
             raise OSError(f"{part} is shorter than {source}") from None
         os.replace(part, target)
         os.remove(source)
+
+
+def publish_tree(source: str, target: str) -> int:
+    """Move a folder's files below target, one by one; what stood there before and is not in source goes. Gives files moved.
+
+    A marker beside target lists the files to come: a run that was cut short goes on from it, and a finished one clears it.
+    """
+    marker = f"{target.rstrip('/')}.publishing.json"
+    listed = read_json(marker).get("files")
+    if listed is None:
+        if not os.path.isdir(source):
+            if os.path.isdir(target):
+                return 0
+            raise FileNotFoundError(source)
+        listed = sorted(str(p.relative_to(source)) for p in Path(source).rglob("*") if p.is_file())
+        write_json(marker, {"source": source, "files": listed})
+    for old in [p for p in Path(target).rglob("*") if p.is_file()] if os.path.isdir(target) else []:
+        if str(old.relative_to(target)) not in listed:
+            old.unlink()
+    moved = 0
+    for name in listed:
+        here = os.path.exists(f"{source}/{name}")
+        publish_file(f"{source}/{name}", f"{target}/{name}")
+        moved += here
+    os.remove(marker)
+    shutil.rmtree(source, ignore_errors=True)
+    return moved

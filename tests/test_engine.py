@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.grid import Grid
-from gridloom.operators import calibrate, geometry, kernels, register, scenes, seams, vector
-from gridloom.plans import catalog, survey
-from gridloom.sources import bands, geotiff, tables, tiles
+from gridloom.operators import calibrate, cells, geometry, kernels, register, scenes, seams, vector
+from gridloom.plans import catalog, survey, work
+from gridloom.sources import bands, geotiff, tables, tiles, webtiles
 from gridloom.streaming import cells as stream_cells
 
 DATA = "/root/testdata/sf0.001"
@@ -292,6 +292,40 @@ def test_publish_is_idempotent(tmp_path):
         survey.publish_file(str(tmp_path / "b"), str(tmp_path / "d/b"))
 
 
+def test_publish_tree_goes_on_where_it_was_cut(tmp_path, monkeypatch):
+    source, target = tmp_path / "s", tmp_path / "t"
+    for name in ("a", "d/b", "d/c"):
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_text(name)
+    target.mkdir()
+    (target / "stale").write_text("old")
+    whole = survey.publish_file
+
+    def cut(a, b):
+        if a.endswith("d/c"):
+            raise OSError("disk")
+        whole(a, b)
+
+    monkeypatch.setattr(survey, "publish_file", cut)
+    with pytest.raises(OSError):
+        survey.publish_tree(str(source), str(target))
+    monkeypatch.setattr(survey, "publish_file", whole)
+    assert survey.publish_tree(str(source), str(target)) == 1 and not source.exists()
+    assert sorted(str(p.relative_to(target)) for p in target.rglob("*") if p.is_file()) == ["a", "d/b", "d/c"]
+    assert survey.publish_tree(str(source), str(target)) == 0 and not (tmp_path / "t.publishing.json").exists()
+
+
+def test_entry_without_the_corpus_half(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [n for n in sys.modules if n.startswith("gridloom.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "gridloom.llm", None)  # as if it could not be imported
+    assert "cell_pearson" in entry.queries() and not any(n.startswith("op") for n in entry.queries()) and "op2_exact_dedup" not in entry.oracle_sql()
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.createDataFrame([(i // 10, i % 10, i * 7 % 13, i * 5 % 11) for i in range(100)], "r long, c long, x long, y long")
     rows.repartition(4).write.parquet(str(tmp_path / "in"))
@@ -386,3 +420,116 @@ def test_geotiff_strips_in_other_orders(tmp_path):
     path = tmp_path / "s.tif"
     path.write_bytes(struct.pack(">2sHI", b"MM", 42, start) + pixels + body + struct.pack(">I", 0) + tail)
     assert (geotiff.read_window(str(path)) == data).all() and (geotiff.read_window(str(path), 3, 4, 2, 5) == data[:, 3:5, 2:6]).all()
+
+
+def test_crop_tags_and_cells_on_another_lattice(spark, tmp_path):
+    anchor_grid, product_grid, like = Grid(0.0, 40.0, 0.5, 64, 64), Grid(4.0, 36.0, 0.5, 48, 48), Grid(-8.0, 48.0, 0.5, 8, 8)
+    big = texture(64, 64, 9)
+    anchor = spark.createDataFrame([(r, c, int(big[r, c]), (r * c) % 13 != 0) for r in range(64) for c in range(64)], "r long, c long, dn int, valid boolean")
+    product = tables.crop(anchor, anchor_grid, product_grid)  # its first pixel is the anchor's (8, 8)
+    assert product.count() == 48 * 48 and product.where("r = 0 AND c = 0").first().dn == int(big[8, 8])
+    with pytest.raises(ValueError):
+        tables.crop(anchor, anchor_grid, Grid(0.1, 40.0, 0.5, 4, 4))
+    for base, (dr, dc) in ((None, (0, 0)), (like, (16, 16))):
+        out = {(x.crow, x.ccol): x for x in cells.registration_cells(product, product_grid, anchor, anchor_grid, 8.0, 8.0, 20, base).collect()}
+        inside = out[((dr + 20) // 16, (dc + 20) // 16)]
+        assert math.isclose(inside.r, 1.0) and inside.miss == 0 and out[(dr // 16, dc // 16)].miss > 0.5
+    for wrong in (dict(cell_m=0.7), dict(product_grid=Grid(0.1, 36.0, 0.5, 48, 48)), dict(product_grid=Grid(400.0, 36.0, 0.5, 48, 48))):
+        with pytest.raises(ValueError):
+            cells.registration_cells(**({"product": product, "product_grid": product_grid, "anchor": anchor, "anchor_grid": anchor_grid, "cell_m": 8.0, "block_m": 8.0} | wrong))
+    tags = tables.tagged(product, {"dn": "NIR"}, "valid").schema
+    assert tags["dn"].metadata == {"description": "NIR", "colour": "gray"} and tags["valid"].metadata["colour"] == "alpha"
+    tables.prewarp(anchor, anchor_grid, product_grid, str(tmp_path / "w"), 16)
+    assert tables.read_window(spark, str(tmp_path / "w"), 16, 0, 15, 0, 15).count() == 256
+
+
+def unpng(image):
+    import struct
+    import zlib
+
+    width, height = struct.unpack(">II", image[16:24])
+    start = image.index(b"IDAT") + 4
+    raw = zlib.decompress(image[start : start + struct.unpack(">I", image[start - 8 : start - 4])[0]])
+    return np.frombuffer(raw, np.uint8).reshape(height, width * 4 + 1)[:, 1:].reshape(height, width, 4)
+
+
+def test_tile_archive(spark, tmp_path):
+    """Every tile of every zoom comes back from the archive, averaged level by level; what is transparent is left out."""
+    rnd = np.random.default_rng(2)
+    red, alpha = rnd.integers(0, 255, (40, 56)), np.zeros((40, 56), int)
+    alpha[:30, 16:] = 255
+    px = spark.createDataFrame([(r, c, float(red[r, c]), 10.0, 20.0, float(alpha[r, c])) for r in range(40) for c in range(56)], "r long, c long, red double, green double, blue double, alpha double")
+    found = webtiles.pyramid(px, 3, 1, tables.cut_lineage, 16)
+    told = webtiles.write_archive(found, str(tmp_path / "a.pmtiles"), (-1.0, -2.0, 3.0, 4.0), {"name": "x"})
+    assert told["tiles"] == 2 * 3 + 1 * 2 + 1 and (told["min_zoom"], told["max_zoom"]) == (1, 3)
+    rows = {(x.z, x.x, x.y): (x.tile_id, bytes(x.image)) for x in found.collect()}
+    assert all(webtiles.read_tile(str(tmp_path / "a.pmtiles"), i) == image for i, image in rows.values())
+    assert webtiles.read_tile(str(tmp_path / "a.pmtiles"), 10**6) is None and webtiles.read_tile(str(tmp_path / "a.pmtiles"), 0) is None
+    tile = unpng(rows[3, 1, 1][1])
+    assert (tile[:, :, 3] == np.pad(alpha, ((0, 8), (0, 8)))[16:32, 16:32]).all() and (tile[:14, :, 0] == red[16:30, 16:32]).all()
+    half = unpng(rows[2, 1, 0][1])
+    want = red[:30, 32:56].reshape(15, 2, 12, 2).mean(axis=(1, 3))
+    assert np.abs(half[:15, :12, 0] - want).max() <= 0.5 and (half[:15, :12, 3] == 255).all()
+    with pytest.raises(ValueError):
+        webtiles.write_archive(found.where("false"), str(tmp_path / "b.pmtiles"), (0, 0, 1, 1))
+    entries = [(3 * k, 1, 500 + k % 7, 600 * k) for k in range(30_000)]
+    root, leaves = webtiles.directories(entries)
+    back = [e for top in webtiles.unpack_directory(root) for e in webtiles.unpack_directory(leaves[top[3] : top[3] + top[2]])]
+    assert len(root) <= webtiles.ROOT_LIMIT and back == entries
+    assert webtiles.max_zoom(0.05, 45.0) == 21 and webtiles.overview_factor([2, 4, 8, 16], 11.0) == 8 and webtiles.overview_factor([2], 1.5) == 1
+    webtiles.write_viewer(str(tmp_path / "v.html"), "a & b", "a.pmtiles", (-1.0, -2.0, 3.0, 4.0), 3)
+    assert "a &amp; b" in (tmp_path / "v.html").read_text()
+
+
+def test_claims_work_and_progress(tmp_path):
+    claims = work.Claims(str(tmp_path / "c"), lease_s=600)
+    assert claims.take("k", "a", 1000.0) and not claims.take("k", "b", 1500.0)
+    assert claims.take("k", "b", 1601.0) and not claims.take("k", "c", 1602.0)  # stale: one worker takes it over
+    claims.release("k")
+    done: set[str] = set()
+    beat = work.Heartbeat(str(tmp_path / "beat"))
+    assert work.work(lambda: ["x", "y", "z"], lambda: done, done.add, claims, "a", heartbeat=beat) == 3 and done == {"x", "y", "z"}
+    assert (tmp_path / "beat").exists() and work.Heartbeat(str(tmp_path / "no" / "beat")).beat() is None
+    claims.take("held", "other")
+    assert work.work(lambda: ["held"], lambda: [], done.add, claims, "a", poll_s=0.01, idle_s=0.05) == 0
+    with work.MemorySampler(str(tmp_path), low_mb=1e12) as sampler:
+        pass
+    assert sampler.summary()["low_memory"] and len(sampler.samples) == 1
+    (tmp_path / "in").write_text("data")
+    assert work.stage_local(str(tmp_path / "in"), str(tmp_path / "out/in")) and (tmp_path / "out/in").read_text() == "data"
+    asked = []
+
+    def broken(address, part):
+        asked.append(address)
+        with open(part, "w") as file:
+            file.write("half")
+        raise OSError("cut")
+
+    with pytest.raises(OSError):
+        work.stage_local("gs://bucket/a.tif", str(tmp_path / "a.tif"), wait_s=0.0, fetch=broken)
+    assert asked == ["https://storage.googleapis.com/bucket/a.tif"] * 3 and not (tmp_path / "a.tif.partial").exists()
+
+
+def test_range_server(tmp_path):
+    import threading
+    import urllib.error
+    import urllib.request
+
+    (tmp_path / "f.bin").write_bytes(bytes(range(100)))
+    server = work.serve(str(tmp_path), 0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        def get(span):
+            ask = urllib.request.Request(f"http://127.0.0.1:{server.server_address[1]}/f.bin", headers={"Range": span} if span else {})
+            with urllib.request.urlopen(ask, timeout=10) as got:
+                return got.status, got.headers.get("Content-Range"), got.headers["Access-Control-Allow-Origin"], got.read()
+
+        assert get("") == (200, None, "*", bytes(range(100)))
+        assert get("bytes=10-19") == (206, "bytes 10-19/100", "*", bytes(range(10, 20)))
+        assert get("bytes=-5")[3] == bytes(range(95, 100)) and get("bytes=98-500")[:2] == (206, "bytes 98-99/100")
+        with pytest.raises(urllib.error.HTTPError) as wrong:
+            get("bytes=100-")
+        assert wrong.value.code == 416
+    finally:
+        server.shutdown()
+        server.server_close()
