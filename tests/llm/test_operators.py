@@ -557,3 +557,45 @@ def test_pipeline_stages(spark, docs):
         out = stage(spark, docs, "")
         assert out.columns == docs.columns, name
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "pii", "packing"]
+
+
+def test_pipeline_end_to_end(spark, tmp_path):
+    """run() on a table with junk, copies, near copies, boilerplate and personal data: who is left, and what their ids say."""
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(21)
+    nouns = "river house garden letter winter market silver window teacher village bridge engine forest mountain captain doctor farmer painter harbour island station library kitchen meadow".split()
+    verbs = "saw found left carried painted opened crossed remembered described followed visited repaired".split()
+    pick = lambda n: " ".join(rnd.choice(nouns) for _ in range(n))
+    sentence = lambda: f"The {pick(2)} of the {pick(2)} {rnd.choice(verbs)} {pick(3)} and {pick(3)}, to {rnd.choice(verbs)} {pick(2)} in a {pick(2)}."
+    story = lambda n=14: "\n".join(sentence() for _ in range(n))
+    menu = "Home News Contact and all the rest of the menu"
+    rows, kept = [], {}
+
+    def add(text, stays, shown=None):
+        rows.append((len(rows), text, "en", "site", len(text or ""), f"extra {len(rows)}"))
+        if stays:
+            kept[len(rows) - 1] = text if shown is None else shown
+
+    first = menu + "\n" + story()
+    add(first, True)  # the page of least doc_id keeps its boilerplate
+    for _ in range(20):
+        own = story()
+        add(menu + "\n" + own, True, own)
+    copied = story()
+    for k in range(6):
+        add(copied, k == 0)
+    base = story(30)
+    add(base, True)
+    add(base.replace("The", "A", 1), False)
+    add("Mail ann.lee@mail.example.org or call +1 (555) 010-9999 now.\n" + (own := story()), True, "Mail [EMAIL] or call [PHONE] now.\n" + own)
+    for junk in (None, "", "too short", "the same words again " * 40, "#$%&| <<>> " * 200):
+        add(junk, False)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rid string")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library = Tokenizer.from_file(packing.vocabulary_path(packing.VOCABULARY))
+    got = collections.defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.start):
+        got[p.doc_id] += p.ids
+    assert got == {i: [*library.encode(t, add_special_tokens=False).ids, packing.END_ID] for i, t in kept.items()}
