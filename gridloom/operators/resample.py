@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .kernels import rank
+from ..grid import Grid
+from .kernels import CUBIC, rank
 from .tiles import map_tiles
 
 KEY = ["r", "c"]
@@ -109,3 +110,47 @@ def rank_transform(px: DataFrame, radius: int, band: str = "dn", size: int = 512
         return {"rank": rank(a[band], radius).astype(np.int32)}
 
     return map_tiles(px, [band], size, radius, kernel, "rank int")
+
+
+def _tap(kind: str, t: Column) -> Column:
+    """Weight of a source pixel t pixels from the sampled point."""
+    t = F.abs(t)
+    if kind == "bilinear":
+        return F.greatest(F.lit(0.0), 1 - t)
+    near = (CUBIC + 2) * t * t * t - (CUBIC + 3) * t * t + 1
+    far = CUBIC * t * t * t - 5 * CUBIC * t * t + 8 * CUBIC * t - 4 * CUBIC
+    return F.when(t <= 1, near).when(t < 2, far).otherwise(0.0)
+
+
+def read_through(px: DataFrame, own: Grid, onto: Grid, kind: str = "cubic", band: str = "dn") -> DataFrame:
+    """(r, c, band) of the pixels of another grid, as doubles: any raster read through a target grid.
+
+    kind: nearest, bilinear or cubic, zeros outside the raster; average, the mean of the pixels whose centres fall in each
+    target pixel, for coarser targets. Grids on one lattice are an exact crop whatever the kind. Each source pixel is sent
+    to the target pixels that it has weight on, and weighted values add up: no join.
+    """
+    value = F.col(band).cast("double")
+    moved = onto.shift_to(own)
+    if moved is not None:
+        out = px.select((F.col("r") + moved[0]).cast("long").alias("r"), (F.col("c") + moved[1]).cast("long").alias("c"), value.alias(band))
+    else:
+        # a source pixel's centre in target pixels, and a target pixel's size in source pixels
+        y, x = (own.y0 - onto.y0) / -onto.res, (own.x0 - onto.x0) / onto.res
+        scale = onto.res / own.res
+        at = lambda name, start: F.lit(start) + (F.col(name) + 0.5) / scale - 0.5
+        rows = px.select(at("r", y).alias("y"), at("c", x).alias("x"), value.alias("v"))
+        if kind == "average":
+            out = rows.groupBy(F.floor(F.col("y") + 0.5).alias("r"), F.floor(F.col("x") + 0.5).alias("c")).agg(F.avg("v").alias(band))
+        elif kind in ("nearest", "bilinear", "cubic"):
+            reach = {"nearest": 0.5, "bilinear": 1.0, "cubic": 2.0}[kind] / scale  # target pixels around a source pixel's centre
+            span = lambda name: F.sequence(F.ceil(F.col(name) - reach), F.floor(F.col(name) + reach))
+            sent = rows.withColumn("r", F.explode(span("y"))).withColumn("c", F.explode(span("x")))
+            dy, dx = (F.col("r") - F.col("y")) * scale, (F.col("c") - F.col("x")) * scale
+            if kind == "nearest":  # of two as near, the later row and column, as rounding up takes it
+                inside = (dy >= -0.5) & (dy < 0.5) & (dx >= -0.5) & (dx < 0.5)
+                out = sent.where(inside).select("r", "c", F.col("v").alias(band))
+            else:
+                out = sent.groupBy("r", "c").agg(F.sum(F.col("v") * _tap(kind, dy) * _tap(kind, dx)).alias(band))
+        else:
+            raise ValueError(f"no kind {kind!r}")
+    return out.where(F.col("r").between(0, onto.height - 1) & F.col("c").between(0, onto.width - 1))

@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pixel
+from ..grid import Grid
 from ..operators import cells, resample
+from ..operators.kernels import CUBIC
 from ..sources import adapters as src
 from ..sources.adapters import PX_SQL
 from .registry import query, sql_typed, typed
@@ -263,3 +265,41 @@ def bilinear_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
  FROM px a JOIN o b ON b.r = a.r AND b.c BETWEEN a.c - 4 AND a.c + 4 GROUP BY 1, 2""")
 def rank_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(resample.rank_transform(src.px(spark, sf_dir), 4), "r c rank")
+
+
+# Reading through a grid whose origin lies 0.61 rows below and 0.37 columns beside the raster's.
+_TARGET = f"{PX_SQL}, dim AS (SELECT max(r) + 1 AS h FROM px), t AS (SELECT r, c, r + 0.61::DOUBLE AS y, c + 0.37::DOUBLE AS x FROM px, dim WHERE r < h - 1 AND c < 63)"
+
+
+def _cubic_sql(t: str) -> str:
+    a, t = CUBIC, f"abs({t})"
+    return f"CASE WHEN {t} <= 1 THEN ({a} + 2) * {t} * {t} * {t} - ({a} + 3) * {t} * {t} + 1 WHEN {t} < 2 THEN {a} * {t} * {t} * {t} - 5 * {a} * {t} * {t} + 8 * {a} * {t} - 4 * {a} ELSE 0 END"
+
+
+def _through(spark: SparkSession, sf_dir: str, kind: str, res: float = 1.0) -> DataFrame:
+    h = src.height(spark, sf_dir)
+    own = Grid(0.0, float(h), 1.0, h, 64)
+    onto = Grid(0.37, h - 0.61, res, int((h - 1) // res), int(63 // res))
+    return typed(resample.read_through(src.px(spark, sf_dir), own, onto, kind), "r c", "dn")
+
+
+@query(f"WITH {_TARGET} SELECT t.r, t.c, round(CAST(p.dn AS DOUBLE), 6) AS dn FROM t JOIN px p ON p.r = floor(y + 0.5) AND p.c = floor(x + 0.5)")
+def read_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through(spark, sf_dir, "nearest")
+
+
+@query(f"""WITH {_TARGET}, k AS (SELECT t.*, CAST(floor(y) AS BIGINT) + a.i AS sr, CAST(floor(x) AS BIGINT) + b.i AS sc FROM t, range(2) a(i), range(2) b(i))
+ SELECT k.r, k.c, round(sum(dn * (1 - abs(y - sr)) * (1 - abs(x - sc))), 6) AS dn FROM k JOIN px ON px.r = sr AND px.c = sc GROUP BY 1, 2""")
+def read_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through(spark, sf_dir, "bilinear")
+
+
+@query(f"""WITH {_TARGET}, k AS (SELECT t.*, CAST(floor(y) AS BIGINT) + a.i AS sr, CAST(floor(x) AS BIGINT) + b.i AS sc FROM t, range(-1, 3) a(i), range(-1, 3) b(i))
+ SELECT k.r, k.c, round(sum(dn * ({_cubic_sql('y - sr')}) * ({_cubic_sql('x - sc')})), 6) AS dn FROM k JOIN px ON px.r = sr AND px.c = sc GROUP BY 1, 2""")
+def read_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through(spark, sf_dir, "cubic")
+
+
+@query(f"WITH {PX_SQL}, dim AS (SELECT max(r) + 1 AS h FROM px), a AS (SELECT CAST(floor((r + 0.5 - 0.61) / 3) AS BIGINT) AS r, CAST(floor((c + 0.5 - 0.37) / 3) AS BIGINT) AS c, avg(dn) AS dn FROM px GROUP BY 1, 2) SELECT r, c, round(dn, 6) AS dn FROM a, dim WHERE r >= 0 AND c >= 0 AND r < (h - 1) // 3 AND c < 21")
+def read_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through(spark, sf_dir, "average", 3.0)

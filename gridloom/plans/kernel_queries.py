@@ -8,6 +8,7 @@ from ..operators import kernels, seams
 from ..operators import register as reg
 from ..sources import adapters as src
 from ..sources.tables import cut_lineage
+from . import cell_queries
 from .registry import query
 
 SETTINGS = {"radii": (8, 4), "iterations": 4, "rank_radius": 2, "levels": 2}
@@ -25,7 +26,13 @@ def dense_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("r", "c", F.round("u", 3).alias("u"), F.round("v", 3).alias("v"))
 
 
-@query()
+def _cubic_warp_sql() -> str:
+    taps = ("CAST(floor(y) AS BIGINT) + a.i AS sr", "CAST(floor(x) AS BIGINT) + b.i AS sc")
+    return f"""WITH {src.PX_SQL}, t AS (SELECT r, c, c + 0.5::DOUBLE AS x, r + (r % 3 - 1) / 4.0::DOUBLE AS y FROM px), k AS (SELECT t.*, {', '.join(taps)} FROM t, range(-1, 3) a(i), range(-1, 3) b(i))
+ SELECT k.r, k.c, CAST(greatest(0, least(255, round_even(round(sum(dn * ({cell_queries._cubic_sql('y - sr')}) * ({cell_queries._cubic_sql('x - sc')})), 9), 0))) AS INTEGER) AS dn FROM k JOIN px ON px.r = sr AND px.c = sc GROUP BY 1, 2"""
+
+
+@query(_cubic_warp_sql())
 def cubic_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = src.px(spark, sf_dir)
     return kernels.cubic_warp(p.withColumn("u", F.lit(0.5)).withColumn("v", (F.col("r") % 3 - 1) / 4.0), 64, 8)
