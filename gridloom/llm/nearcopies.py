@@ -8,8 +8,15 @@ The bands miss a pair at 0.8 with a probability of 5e-8, one at 0.9 with 1e-15,
 
 Every candidate is verified on the whole sets, so no pair below the threshold is linked by itself; components of links
 are groups. Texts of one set are one node. In a band's bucket of more than ``bucket_pairs`` nodes, each is first held
-against the least one; after the components of those links, only nodes of different components are held against each other
-there. So a group of any size costs one comparison a member, and no candidate that could join two components is left out.
+against the least one, so a group of any size costs one comparison a member. Buckets that are still of several components
+are crowds: texts that share a passage, say, without being near copies. Their pairs are found exactly, and without being
+formed one by one (``_across``):
+
+A shingle in more than ``FREQUENT`` nodes of the crowds is frequent. With the others sorted first, a similar pair shares one
+of the first n - ceil(0.8 n) + 1 shingles of both (prefix filtering; Chaudhuri et al. 2006). If that one is not frequent, at
+most FREQUENT nodes meet in it. If it is, both nodes have all their infrequent shingles before it, so no more than a fifth,
+and none in common: what they share is frequent. Then each is at least as similar to the other's double of the least
+infrequent part, among nodes of the very same frequent part (class): so each such node is held against one node a class.
 """
 from __future__ import annotations
 
@@ -18,6 +25,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +37,10 @@ SEED = 42
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 4
-#: Ways in which a bucket's nodes are dealt when components in it are held against each other.
+#: Nodes of crowds that may share an infrequent shingle; frequent ones up to which their list goes to every task (8 MB).
+FREQUENT = 32
+BROADCAST_FREQUENT = 1_000_000
+#: Ways in which a crowd's nodes are dealt when they are held against its classes.
 SALTS = 16
 
 
@@ -134,18 +145,90 @@ def _alike_in_size(x: str, y: str):
     return F.least(x, y) >= SIMILAR * F.greatest(x, y) - 1e-9
 
 
-def _across(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of crowded buckets' nodes in different components: those outside a bucket's largest one against all."""
-    members = materialize(crowded.join(roots.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "near-members")
-    counted = members.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
-    mixed = members.join(counted.where("roots > 1").select("key", F.col("main.root").alias("main")), "key")
-    every = mixed.select("key", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    aside = mixed.where("root <> main").select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-    met = every.join(aside, ["key", "salt"]).where((F.col("rx") != F.col("ry")) & _alike_in_size("nx", "ny"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+def _count_kernel():
+    """Nodes that hold each shingle, added up over a part."""
+
+    def step(batch: pa.RecordBatch) -> dict:
+        hashes, counts = np.unique(batch.column("hashes").flatten().to_numpy(), return_counts=True)
+        return {"hash": pa.array(hashes, pa.int64()), "df": pa.array(counts, pa.int64())}
+
+    return step
+
+
+def prefix_of(rare: np.ndarray, n: int) -> np.ndarray:
+    """The infrequent ones among a set's first shingles: those of which a similar set must share one, unless it is frequent."""
+    return np.sort(rare)[: n - int(np.ceil(SIMILAR * n - 1e-9)) + 1]
+
+
+def _feature_kernel(frequent: Broadcast | None):
+    """Per node: shingles, infrequent ones, its prefix of those, whether it reaches frequent ones, and its frequent part's hash."""
+
+    def make():
+        listed = None if frequent is None else frequent.value
+
+        def step(batch: pa.RecordBatch) -> dict:
+            out: dict[str, list] = {"n": [], "rare": [], "prefix": [], "mostly": [], "class": []}
+            for k in range(batch.num_rows):
+                if listed is None:
+                    rare, common = (batch.column(c)[k].values.to_numpy() for c in ("rare", "common"))
+                else:
+                    every = batch.column("hashes")[k].values.to_numpy()
+                    at = np.minimum(np.searchsorted(listed, every), max(len(listed) - 1, 0))
+                    found = listed[at] == every if len(listed) else np.zeros(len(every), bool)
+                    rare, common = every[~found], every[found]
+                n = len(rare) + len(common)
+                prefix = prefix_of(rare, n)
+                values = (n, len(rare), prefix, len(rare) < n - int(np.ceil(SIMILAR * n - 1e-9)) + 1, xxhash.xxh3_64_intdigest(np.sort(common).tobytes()) - (1 << 63))
+                for name, v in zip(out, values):
+                    out[name].append(v)
+            kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.bool_(), pa.int64())
+            return {"node": batch.column("node")} | {name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds)}
+
+        return step
+
+    return make
+
+
+def _features(sets: DataFrame, broadcast_frequent: int) -> DataFrame:
+    """(node, n, rare, prefix, mostly, class) of the crowds' nodes."""
+    counted = map_batches(sets.select("hashes"), _count_kernel, "hash long, df long").groupBy("hash").agg(F.sum("df").alias("size"))
+    frequent = materialize(counted.where(F.col("size") > FREQUENT), "near-frequent")
+    schema = "node long, n int, rare int, prefix array<long>, mostly boolean, class long"
+    if frequent.count() <= broadcast_frequent:
+        listed = np.sort(np.array([r["hash"] for r in frequent.select("hash").collect()], np.int64))  # bounded by broadcast_frequent
+        return map_batches(sets, _feature_kernel(sets.sparkSession.sparkContext.broadcast(listed)), schema)
+    every = sets.select("node", F.explode("hashes").alias("hash")).join(frequent.select("hash", F.lit(True).alias("often")), "hash", "left")
+    parted = every.groupBy("node").agg(F.collect_list(F.when(F.col("often").isNull(), F.col("hash"))).alias("rare"), F.collect_list(F.when(F.col("often"), F.col("hash"))).alias("common"))  # one text's shingles
+    return map_batches(parted, _feature_kernel(None), schema)
+
+
+def _across(crowded: DataFrame, roots: DataFrame, marked: DataFrame, groups: DataFrame, hot_rows: int, broadcast_frequent: int) -> DataFrame:
+    """Pairs (a, b) by which crowds' nodes of different components may be linked. crowded: key, node, n."""
+    members = materialize(crowded.join(roots.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("key", "node", F.coalesce("root", "node").alias("root")), "near-members")
+    counted = members.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("roots"), F.sum("c").alias("size"))
+    counted = counted.where("roots > 1").select("key", F.col("main.root").alias("main"), "size")
+    mixed = materialize(join_hot(members, counted.select("key", "main"), "key", counted, hot_rows), "near-mixed")
+    asked = mixed.select("node", "root").distinct()
+    texts = marked.select("rid", "text").join(groups.join(asked, "node", "left_semi").select("node", "rid"), "rid").select("node", "text")
+    sets = materialize(map_batches(texts, _set_kernel, "node long, hashes array<long>"), "near-crowd-sets")
+    features = materialize(_features(sets, broadcast_frequent).join(asked, "node"), "near-features")
+
+    tokens = features.select("node", "n", "root", F.explode("prefix").alias("token"))
+    shared = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "token")
+    other = shared.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    rare = shared.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("rb")) & _alike_in_size("n", "nb")).select(F.col("node").alias("a"), "b")
+
+    common = mixed.select("key", "node", "main").join(features.where("mostly").select("node", "n", "rare", "class", "root"), "node")
+    aside = F.col("root") != F.col("main")
+    classes = common.groupBy("key", "class").agg(F.min(F.struct("rare", "node", "n", "root")).alias("one"), F.bool_or(aside).alias("some"))
+    classes = classes.select("key", "some", F.col("one.node").alias("y"), F.col("one.n").alias("ny"), F.col("one.root").alias("ry"))
+    dealt = common.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    against = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = dealt.join(against, ["key", "salt"]).where((aside | F.col("some")) & (F.col("root") != F.col("ry")) & _alike_in_size("n", "ny"))
+    return rare.unionByName(met.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")))
 
 
-def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROWS) -> DataFrame:
+def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROWS, broadcast_frequent: int = BROADCAST_FREQUENT) -> DataFrame:
     """rows (rid, doc_id, text; rid unique) -> (rid, doc_id, component_id, keep_rid): least doc_id of the group, and its row.
 
     Texts without a word are copies of each other. Rows that repeat a doc_id each get a row; a null doc_id never names a
@@ -168,7 +251,7 @@ def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROW
     roots = connected_components(links, hot_rows)
     if not crowded.isEmpty():
         roots = materialize(roots, "near-roots")
-        links = links.unionByName(_verified(_across(crowded.select("key", "node", "n"), roots), marked, groups, "near-across"))
+        links = links.unionByName(_verified(_across(crowded.select("key", "node", "n"), roots, marked, groups, hot_rows, broadcast_frequent), marked, groups, "near-across"))
         roots = connected_components(links, hot_rows)
     rooted = materialize(groups.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "near-rooted")
     least = materialize(rooted.groupBy("root").agg(F.min("first").alias("keep"), F.count("*").alias("size")), "near-least")

@@ -257,6 +257,41 @@ def test_near_copies_against_brute_force(spark, bucket):
         assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(root)
 
 
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_crowds_with_a_common_passage(spark, monkeypatch, limit):
+    """Texts that share a passage: links as brute force has them, with pairs held against each other far below all."""
+    monkeypatch.setattr(nearcopies, "FREQUENT", 6)
+    rnd = random.Random(17)
+    vocab = [f"v{k}" for k in range(4000)]
+    draw = lambda n: [rnd.choice(vocab) for _ in range(n)]
+    passages = [draw(120), draw(150)]
+    texts = []
+    for p in passages:
+        for k in range(90):  # a fifth or so of private words: just below, at and above the threshold
+            own = draw(rnd.choice([4, 8, 14, 20, 26, 30, 34, 40, 60]))
+            cut = rnd.choice([0, 0, 0, 5, 12])
+            texts.append(" ".join(own[: len(own) // 2] + p[cut:] + own[len(own) // 2 :]))
+    for k in range(0, 60, 2):  # near copies of members: linked by what is private
+        w = texts[k].split()
+        w[rnd.randrange(len(w))] = rnd.choice(vocab)
+        texts.append(" ".join(w))
+    sets = [nearcopies.shingles(t.encode()) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if nearcopies.similar(sets[i], sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    assert len(set(root)) > 20
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, rid long")
+    asked = []
+    real = nearcopies._across
+    monkeypatch.setattr(nearcopies, "_across", lambda *a: asked.append(real(*a)) or asked[-1])
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(df, 2, broadcast_frequent=limit).collect()}
+    assert got == dict(enumerate(root))
+    assert asked and asked[0].distinct().count() < len(texts) ** 2 / 12
+
+
 def test_pii_spans():
     t = TEXTS[13]
     assert [(k, t[a:b]) for k, a, b in pii.base_spans(t)] == [("email", "ann.lee@mail.example.org"), ("ip", "10.20.30.40"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (555) 010-9999")]
