@@ -205,7 +205,7 @@ def merge(flights: DataFrame, band_px: float, checkpoint: Callable[[DataFrame],
     n = flights.select("src").distinct().count()
     if not banded.where("fault").limit(1).count():
         raise RuntimeError("no fault line: the sources do not meet")
-    out = {"ownership": ownership_raster(banded, n), "faultline_cells": banded.where("fault").agg(F.count("*").alias("n"))}
+    out = {"ownership": ownership_raster(banded, n), "faultline_cells": banded.where("fault").agg(F.count("*").alias("n")), "distances": dist, "banded": banded}
     if geometry_only:
         return out
     pixels = fault_pixels(banded)

@@ -533,3 +533,37 @@ def test_range_server(tmp_path):
     finally:
         server.shutdown()
         server.server_close()
+
+
+def test_stages_on_files(spark, tmp_path, capsys):
+    """Two missions as files are aligned to an anchor, stitched, fitted to a reference and cut into web tiles."""
+    from gridloom import __main__ as command
+    from gridloom.plans import stages
+
+    h, w, big = 96, 128, texture(150, 180, 12)
+    look = lambda u, v, c0, c1: np.where((np.arange(w) >= c0) & (np.arange(w) < c1), shifted_texture(big, h, w, u, v), 0).astype(np.uint8)
+    on = lambda c0, c1: np.broadcast_to(np.where((np.arange(w) >= c0) & (np.arange(w) < c1), 255, 0), (h, w)).astype(np.uint8)
+    truth = look(0, 0, 0, w)
+    for name, move, c0, c1 in (("anchor", (0, 0), 0, w), ("one", (1.5, 0.5), 0, 84), ("two", (-1.0, 1.0), 44, w)):
+        band = look(*move, c0, c1)
+        geotiff.write(str(tmp_path / f"{name}.tif"), np.stack([band, band, band, on(c0, c1)]), 0.5, 0.0, h / 2, ["red", "green", "blue", "alpha"], alpha=True, block=64)
+    tiling = {"size": 64, "halo": 24, "margin": 4.0} | SMALL
+    for name in ("one", "two"):
+        report = stages.align(spark, str(tmp_path / f"{name}.tif"), str(tmp_path / "anchor.tif"), str(tmp_path / "aligned" / name), tiling, 16)
+        assert report["summary"]["r_after"] > report["summary"]["r_before"] and not report["summary"]["look"] or report["summary"]["r_after"] > 0.9
+    report = stages.stitch(spark, [str(tmp_path / "aligned" / n) for n in ("one", "two")], str(tmp_path / "out"), 4.0, {"block": 64, "reach": 32, "halo": 24} | SMALL)
+    assert report["tripwire"]["passed"] and report["interiors"]["verdict"] == "identical" and report["seams"][0]["length_m"] > 10
+    raster = stages.open_raster(spark, str(tmp_path / "out"))
+    got = {(x.r, x.c): x for x in raster.pixels.collect()}
+    inner = [(r, c) for r in range(14, h - 14) for c in range(14, w - 14) if got[r, c].valid]
+    assert len(got) == h * w and len(inner) > 0.9 * (h - 28) * (w - 28) and raster.names == ("band_1", "band_2", "band_3")
+    assert np.mean([abs(got[k].band_1 - float(truth[k])) for k in inner]) < 2.5
+    coarse = truth[: h // 4 * 4, : w // 4 * 4].reshape(h // 4, 4, w // 4, 4).mean(axis=(1, 3))
+    geotiff.write(str(tmp_path / "ref.tif"), np.rint(coarse * 20)[None].astype(np.int16), 2.0, 0.0, h / 2, ["b4"], block=64)
+    report = stages.fit_reference(spark, str(tmp_path / "out"), str(tmp_path / "ref.tif"), str(tmp_path / "model"), 16.0)
+    assert report["r2"][0]["r2"] > 0.9
+    told = stages.tile_archive(spark, str(tmp_path / "out"), str(tmp_path / "map.pmtiles"), 1, 0, (0.0, 0.0, 1.0, 1.0), 64)
+    assert told["tiles"] == 5 and (tmp_path / "map.html").exists()
+    path = tmp_path / "survey.toml"
+    path.write_text(SURVEY.format(run=tmp_path / "run"))
+    assert command.main(["plan", "--config", str(path)]) == 0 and "todo stitch/visible" in capsys.readouterr().out
