@@ -22,6 +22,8 @@ from .common import NOT_PLAIN, Recent, map_batches, materialize, plain_pattern,
 
 LENGTH = 4096
 END_ID = 2
+#: Documents of a range of the curve, at most about; a session with more shuffle partitions makes smaller ones.
+RANGE_ROWS = 4_000_000
 DIMENSIONS, BITS = 4, 15
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct words of a generation whose ids a worker remembers.
@@ -147,7 +149,7 @@ def placed(table: DataFrame) -> tuple[DataFrame, int]:
 
     Only (key, doc_id, rid, n) is range-sorted; each range's total, one number a range, meets on the driver.
     """
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-table.count() // RANGE_ROWS))
     order = ["key", "doc_id", "rid"]
     ranged = materialize(table.select("rid", "doc_id", "key", "n").repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "packing-order")
     totals = {r["range"]: r["total"] for r in ranged.groupBy("range").agg(F.sum("n").alias("total")).collect()}
