@@ -538,6 +538,16 @@ def test_toxicity_learns_from_whole_strings():
     assert np.mean(np.array(inserted) >= 0.7) > 0.7
 
 
+def test_toxicity_of_odd_rows(docs):
+    """Null, empty and very long texts, repeated rows and clashing columns: a score for each row, alike for like texts."""
+    model = toxicity.fit([{"blargnok", "river"}] * 40 + [{"blargnok", f"w{k}"} for k in range(60)], [{"river", f"stone{k}"} for k in range(200)], 0.3)
+    out = toxicity.score(docs, model).collect()
+    assert collections.Counter(r.doc_id for r in out) == collections.Counter(r[0] for r in rows())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and (r.held_out is False or r.doc_id is not None) for r in out)
+    by = {(r[0], r[1]): None for r in rows()}
+    assert len({r.score for r in out if r.doc_id in (0, 1, 2)}) == 1 and len(by) < len(out)
+
+
 def test_toxicity(spark):
     rnd = random.Random(4)
     plain = ["river", "stone", "window", "garden", "letter", "winter", "market", "silver"]
