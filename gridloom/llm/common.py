@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -43,10 +44,26 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what is run inside; the session's own setting holds again afterwards.
+
+    Batches stand in the memory of the JVM and of the worker at once, beside an executor's heap.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, str(min(rows, int(own)) if own and int(own) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+
+
 def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, for every executor."""
     path = scratch_path(df.sparkSession, label)
-    df.write.options(compression="zstd", **options).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

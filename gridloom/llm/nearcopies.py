@@ -8,7 +8,7 @@ The bands miss a pair at 0.8 with a probability of 5e-8, one at 0.9 with 1e-15,
 
 Every candidate is verified on the whole sets, so no pair below the threshold is linked by itself; components of links
 are groups. Texts of one set are one node. In a band's bucket of more than ``bucket_pairs`` nodes, each is first held
-against the least one, so a group of any size costs one comparison a member. Buckets that are still of several components
+against one, the least by one of ``PIVOTS`` hashes, so a group of any size costs so many comparisons a member. Buckets that are still of several components
 are crowds: texts that share a passage, say, without being near copies. Their pairs are found exactly, and without being
 formed one by one (``_across``):
 
@@ -16,7 +16,8 @@ A shingle in more than ``FREQUENT`` nodes of the crowds is frequent. With the ot
 of the first n - ceil(0.8 n) + 1 shingles of both (prefix filtering; Chaudhuri et al. 2006). If that one is not frequent, at
 most FREQUENT nodes meet in it. If it is, both nodes have all their infrequent shingles before it, so no more than a fifth,
 and none in common: what they share is frequent. Then each is at least as similar to the other's double of the least
-infrequent part, among nodes of the very same frequent part (class): so each such node is held against one node a class.
+infrequent part, among nodes of the very same frequent part (class): so each such node is held against one node a class,
+where their frequent parts are long enough.
 """
 from __future__ import annotations
 
@@ -37,6 +38,8 @@ SEED = 42
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 4
+#: Different nodes that a group's buckets may take as the one against which all are held first.
+PIVOTS = 8
 #: Nodes of crowds that may share an infrequent shingle; frequent ones up to which their list goes to every task (8 MB).
 FREQUENT = 32
 BROADCAST_FREQUENT = 1_000_000
@@ -208,7 +211,7 @@ def _across(crowded: DataFrame, roots: DataFrame, marked: DataFrame, groups: Dat
     counted = members.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("roots"), F.sum("c").alias("size"))
     counted = counted.where("roots > 1").select("key", F.col("main.root").alias("main"), "size")
     mixed = materialize(join_hot(members, counted.select("key", "main"), "key", counted, hot_rows), "near-mixed")
-    asked = mixed.select("node", "root").distinct()
+    asked = mixed.groupBy("node", "root").agg(F.collect_list("key").alias("keys"))  # a key a band at most
     texts = marked.select("rid", "text").join(groups.join(asked, "node", "left_semi").select("node", "rid"), "rid").select("node", "text")
     sets = materialize(map_batches(texts, _set_kernel, "node long, hashes array<long>"), "near-crowd-sets")
     features = materialize(_features(sets, broadcast_frequent).join(asked, "node"), "near-features")
@@ -218,13 +221,16 @@ def _across(crowded: DataFrame, roots: DataFrame, marked: DataFrame, groups: Dat
     other = shared.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     rare = shared.join(other, "token").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("rb")) & _alike_in_size("n", "nb")).select(F.col("node").alias("a"), "b")
 
-    common = mixed.select("key", "node", "main").join(features.where("mostly").select("node", "n", "rare", "class", "root"), "node")
+    common = mixed.select("key", "node", "main").join(features.where("mostly").select("node", "n", "rare", "class", "root", "keys"), "node")
     aside = F.col("root") != F.col("main")
-    classes = common.groupBy("key", "class").agg(F.min(F.struct("rare", "node", "n", "root")).alias("one"), F.bool_or(aside).alias("some"))
-    classes = classes.select("key", "some", F.col("one.node").alias("y"), F.col("one.n").alias("ny"), F.col("one.root").alias("ry"))
+    classes = common.groupBy("key", "class").agg(F.min(F.struct("rare", "node", "n", "root", "keys")).alias("one"), F.bool_or(aside).alias("some"))
+    classes = classes.select("key", "some", F.col("one.node").alias("y"), F.col("one.n").alias("ny"), F.col("one.root").alias("ry"), F.col("one.keys").alias("ky"), (F.col("one.n") - F.col("one.rare")).alias("cy"))
     dealt = common.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     against = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = dealt.join(against, ["key", "salt"]).where((aside | F.col("some")) & (F.col("root") != F.col("ry")) & _alike_in_size("n", "ny"))
+    most = F.least(F.col("n") - F.col("rare"), F.col("cy"))  # what the two can have in common at most
+    can = most >= SIMILAR * (F.col("n") + F.col("ny") - most) - 1e-9
+    once = F.array_min(F.array_intersect("keys", "ky")) == F.col("key")  # a pair is formed in the first bucket that it shares
+    met = dealt.join(against, ["key", "salt"]).where((aside | F.col("some")) & (F.col("root") != F.col("ry")) & can & once)
     return rare.unionByName(met.select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")))
 
 
@@ -240,7 +246,8 @@ def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROW
     groups = materialize(groups.select("node", "n", "fp", "size", F.col("first.rid").alias("rid"), "first"), "near-groups")
     bands = marked.select("rid", "bands").join(groups.select("rid", "node", "n"), "rid")  # of one row a node
     keys = materialize(bands.select("node", "n", F.explode("bands").alias("key")).distinct(), "near-keys")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("least")).where("c > 1")
+    pivot = F.xxhash64(F.pmod("key", F.lit(PIVOTS)), "node").alias("order")
+    sizes = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(pivot, "node", "n")).alias("least")).where("c > 1")
     met = materialize(join_hot(keys, sizes, "key", sizes.withColumnRenamed("c", "size"), hot_rows), "near-met")
     few = met.where(F.col("c") <= bucket_pairs)
     pairs = few.select("key", F.col("node").alias("a"), F.col("n").alias("na")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb")), "key").where("a < b")
