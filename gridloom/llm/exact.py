@@ -164,7 +164,9 @@ def _find_kernel():
             asked = np.frombuffer(batch.column("pass")[k].as_py(), np.uint8).reshape(-1, 32)
             view = entries[0].reshape(-1).view("S32") if len(entries[0]) else np.zeros(0, "S32")
             hit = np.nonzero(np.isin(view, asked.reshape(-1).view("S32")))[0]
-            out += [{"digest": entries[0][i].tobytes(), "none": bool(entries[1][i]), "doc_id": None if entries[1][i] else int(entries[2][i]), "rid": int(entries[3][i]), "n": int(entries[4][i])} for i in hit]
+            for i in hit:
+                digest, none, doc_id, rid, n = (x[i] for x in entries)
+                out.append({"digest": digest.tobytes(), "none": bool(none), "doc_id": None if none else int(doc_id), "rid": int(rid), "n": int(n)})
         schema = pa.schema([("digest", pa.binary()), ("none", pa.bool_()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("n", pa.int64())])
         table = pa.Table.from_pylist(out, schema)
         return {f.name: table.column(f.name).combine_chunks() for f in schema}

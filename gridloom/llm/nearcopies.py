@@ -201,7 +201,8 @@ def _features(sets: DataFrame, broadcast_frequent: int) -> DataFrame:
         listed = np.sort(np.array([r["hash"] for r in frequent.select("hash").collect()], np.int64))  # bounded by broadcast_frequent
         return map_batches(sets, _feature_kernel(sets.sparkSession.sparkContext.broadcast(listed)), schema)
     every = sets.select("node", F.explode("hashes").alias("hash")).join(frequent.select("hash", F.lit(True).alias("often")), "hash", "left")
-    parted = every.groupBy("node").agg(F.collect_list(F.when(F.col("often").isNull(), F.col("hash"))).alias("rare"), F.collect_list(F.when(F.col("often"), F.col("hash"))).alias("common"))  # one text's shingles
+    of = lambda which, name: F.collect_list(F.when(which, F.col("hash"))).alias(name)  # noqa: E731  one text's shingles
+    parted = every.groupBy("node").agg(of(F.col("often").isNull(), "rare"), of(F.col("often"), "common"))
     return map_batches(parted, _feature_kernel(None), schema)
 
 
@@ -224,7 +225,8 @@ def _across(crowded: DataFrame, roots: DataFrame, marked: DataFrame, groups: Dat
     common = mixed.select("key", "node", "main").join(features.where("mostly").select("node", "n", "rare", "class", "root", "keys"), "node")
     aside = F.col("root") != F.col("main")
     classes = common.groupBy("key", "class").agg(F.min(F.struct("rare", "node", "n", "root", "keys")).alias("one"), F.bool_or(aside).alias("some"))
-    classes = classes.select("key", "some", F.col("one.node").alias("y"), F.col("one.n").alias("ny"), F.col("one.root").alias("ry"), F.col("one.keys").alias("ky"), (F.col("one.n") - F.col("one.rare")).alias("cy"))
+    own = [F.col(f"one.{x}").alias(y) for x, y in (("node", "y"), ("n", "ny"), ("root", "ry"), ("keys", "ky"))]
+    classes = classes.select("key", "some", *own, (F.col("one.n") - F.col("one.rare")).alias("cy"))
     dealt = common.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     against = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     most = F.least(F.col("n") - F.col("rare"), F.col("cy"))  # what the two can have in common at most

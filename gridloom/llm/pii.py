@@ -117,7 +117,8 @@ def mentions(text: str, spans: list[tuple[str, int, int]], window: int = WINDOW)
     return out
 
 
-_FOUND = "rid long, doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:string,context:long,term:string,start:int,end:int>>"
+_FOUND = "rid long, doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
+_FOUND += "near array<struct<entity:string,context:long,term:string,start:int,end:int>>"
 _NEAR = pa.list_(pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -197,7 +198,10 @@ def _with_copies(rows: DataFrame, found: DataFrame, broadcast_copies: int) -> Da
     return both.select("text", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
 
 
-def find(rows: DataFrame, window: int = WINDOW, quantile: float = QUANTILE, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT, broadcast_terms: int = BROADCAST_TERMS, broadcast_copies: int = BROADCAST_COPIES, hot_rows: int = HOT_ROWS) -> DataFrame:
+def find(
+    rows: DataFrame, window: int = WINDOW, quantile: float = QUANTILE, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT,
+    broadcast_terms: int = BROADCAST_TERMS, broadcast_copies: int = BROADCAST_COPIES, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """rows (rid, doc_id, text) -> rid, doc_id, base counts, base_sha256, base spans, method (array of o, start, end, kind).
 
     Null text counts as empty; repeated rows each get a row; where every text has the entity, no term tells of it; an
