@@ -126,11 +126,15 @@ HOT_ROWS = 100_000
 
 
 def join_hot(rows: DataFrame, table: DataFrame, key: str, sizes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """rows joined with table, which has one row a key. sizes (key, size) counts the rows of each key.
+    """rows joined with table, which has one row a key. sizes (key, size), a written table, counts the rows of each key.
 
     Keys of more than hot_rows rows never move: they meet their rows of table by a broadcast, one of hot_rows rows at most.
+    Without such a key it is a plain join, of a far smaller plan.
     """
-    hot = F.broadcast(sizes.where(F.col("size") > hot_rows).select(key))
+    loud_keys = sizes.where(F.col("size") > hot_rows).select(key)
+    if loud_keys.isEmpty():
+        return rows.join(table, key)
+    hot = F.broadcast(loud_keys)
     loud = rows.join(F.broadcast(table.join(hot, key, "left_semi")), key)
     return rows.join(hot, key, "left_anti").join(table, key).unionByName(loud)
 

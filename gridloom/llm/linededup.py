@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, same_columns, text_or_empty
+from .common import materialize, text_or_empty
 
 MAX_RATIO = 0.01
 MIN_PAGES = 5

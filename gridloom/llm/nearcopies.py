@@ -210,7 +210,7 @@ def _across(crowded: DataFrame, roots: DataFrame, marked: DataFrame, groups: Dat
     """Pairs (a, b) by which crowds' nodes of different components may be linked. crowded: key, node, n."""
     members = materialize(crowded.join(roots.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left").select("key", "node", F.coalesce("root", "node").alias("root")), "near-members")
     counted = members.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("roots"), F.sum("c").alias("size"))
-    counted = counted.where("roots > 1").select("key", F.col("main.root").alias("main"), "size")
+    counted = materialize(counted.where("roots > 1").select("key", F.col("main.root").alias("main"), "size"), "near-counted")
     mixed = materialize(join_hot(members, counted.select("key", "main"), "key", counted, hot_rows), "near-mixed")
     asked = mixed.groupBy("node", "root").agg(F.collect_list("key").alias("keys"))  # a key a band at most
     texts = marked.select("rid", "text").join(groups.join(asked, "node", "left_semi").select("node", "rid"), "rid").select("node", "text")
@@ -249,7 +249,7 @@ def near_copies(rows: DataFrame, bucket_pairs: int = 32, hot_rows: int = HOT_ROW
     bands = marked.select("rid", "bands").join(groups.select("rid", "node", "n"), "rid")  # of one row a node
     keys = materialize(bands.select("node", "n", F.explode("bands").alias("key")).distinct(), "near-keys")
     pivot = F.xxhash64(F.pmod("key", F.lit(PIVOTS)), "node").alias("order")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(pivot, "node", "n")).alias("least")).where("c > 1")
+    sizes = materialize(keys.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct(pivot, "node", "n")).alias("least")).where("c > 1"), "near-sizes")
     met = materialize(join_hot(keys, sizes, "key", sizes.withColumnRenamed("c", "size"), hot_rows), "near-met")
     few = met.where(F.col("c") <= bucket_pairs)
     pairs = few.select("key", F.col("node").alias("a"), F.col("n").alias("na")).join(few.select("key", F.col("node").alias("b"), F.col("n").alias("nb")), "key").where("a < b")

@@ -137,7 +137,7 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 2, bucket_pairs:
     if not 0 <= max_bits <= 2:
         raise ValueError("the Golay keys hold for at most 2 differing bits")
     keys = materialize(map_batches(distinct_fps.select("fp"), _key_kernel, "fp long, key long"), "golay-keys")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "golay-sizes")
     met = materialize(join_hot(keys, sizes, "key", sizes.withColumnRenamed("n", "size"), hot_rows), "golay-met")
     few = met.where(F.col("n") <= bucket_pairs)
     pairs = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key")
@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, bucket_pairs: int = 32,
     roots = connected_components(fingerprint_links(groups, max_bits, bucket_pairs, hot_rows), hot_rows)
     rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "fingerprint-roots")
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("size"))
+    least = materialize(rooted.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("size")), "fingerprint-least")
     named = join_hot(rooted, least.select("root", "component_id"), "root", least, hot_rows).select("fp", "component_id")
     return join_hot(marked, named, "fp", groups, hot_rows).select("doc_id", "fp", "component_id")
 
