@@ -26,8 +26,10 @@ END_ID = 2
 RANGE_ROWS = 4_000_000
 DIMENSIONS, BITS = 4, 15
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words of a generation whose ids a worker remembers.
-CACHE_WORDS = 600_000
+#: Distinct words of a generation whose ids a worker remembers: a worker stays, and so do they, while other stages run.
+CACHE_WORDS = 200_000
+#: Texts that are split at once; their words stand in memory together.
+SPLIT_TEXTS = 250
 
 # Fixed value: the pieces between which the vocabulary's file splits texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -44,25 +46,37 @@ class WordEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence as Steps
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         self.split = plain_pattern(PIECES).findall
         self.known = Recent(CACHE_WORDS)
         if self.library.get_vocab_size() > 65536:
             raise ValueError("ids must fit 16 bits")
+        self.ends_word = np.zeros(65536, bool)
+        # words are split and in lower case already: only their bytes and merges are left to do
+        self.of_words = Tokenizer.from_file(path)
+        self.of_words.normalizer = Steps([])
+        self.of_words.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.library.model.end_of_word_suffix
+        if suffix:
+            self.ends_word[[i for token, i in self.library.get_vocab().items() if token.endswith(suffix)]] = True
 
     def _learn(self, words: list[str]) -> list[tuple[str, bytes]]:
-        """Ids of words: the library reads them as one text, and tells which word each id is of."""
-        found = self.library.encode(" ".join(words), add_special_tokens=False)
-        ids, of = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
-        ends = np.searchsorted(of, np.arange(len(words)), side="right")
-        if not len(of) or of[-1] != len(words) - 1 or (np.diff(ends, prepend=0) <= 0).any():
+        """Ids of words: the library reads them as one text, and a word's last id alone is of a token with the suffix."""
+        ids = np.array(self.of_words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
             return [(w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(words, self.library.encode_batch(words, add_special_tokens=False))]
         raw, ends = ids.tobytes(), (2 * ends).tolist()
         return [(w, raw[a:b]) for w, a, b in zip(words, [0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers, the end id last."""
+        return [x for at in range(0, len(texts), SPLIT_TEXTS) for x in self._encode(texts[at : at + SPLIT_TEXTS])]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         odd = ["<|" in t or NOT_PLAIN.search(t) is not None for t in texts]
         split = [[] if o else self.split(t.lower()) for t, o in zip(texts, odd)]
         known, end = self.known.ready(set().union(*split), self._learn), np.array([END_ID], "<u2").tobytes()
@@ -85,42 +99,47 @@ def _signs() -> np.ndarray:
     return np.stack([((x >> np.uint64(16 * d)) & np.uint64(1)).astype(np.float64) * 2 - 1 for d in range(DIMENSIONS)], axis=1)
 
 
-def hilbert_index(point: list[int], bits: int = BITS) -> int:
-    """Position of a grid point on the Hilbert curve (Skilling 2004): undo the rotations, then Gray-decode."""
-    x, n = list(point), len(point)
+def hilbert_indices(points: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Positions of grid points (a row each) on the Hilbert curve (Skilling 2004): undo the rotations, then Gray-decode."""
+    x, n = list(np.array(points, np.int64).T), points.shape[1]
     mask = 1 << (bits - 1)
     while mask > 1:
         low = mask - 1
         for i in range(n):
-            if x[i] & mask:
-                x[0] ^= low
-            else:
-                swap = (x[0] ^ x[i]) & low
-                x[0] ^= swap
-                x[i] ^= swap
+            swap = np.where(x[i] & mask, 0, (x[0] ^ x[i]) & low)
+            x[0] = x[0] ^ np.where(x[i] & mask, low, swap)
+            if i:
+                x[i] = x[i] ^ swap
         mask >>= 1
     for i in range(1, n):
-        x[i] ^= x[i - 1]
-    fix, mask = 0, 1 << (bits - 1)
+        x[i] = x[i] ^ x[i - 1]
+    fix, mask = np.zeros_like(x[0]), 1 << (bits - 1)
     while mask > 1:
-        if x[n - 1] & mask:
-            fix ^= mask - 1
+        fix ^= np.where(x[n - 1] & mask, mask - 1, 0)
         mask >>= 1
-    out = 0
+    out = np.zeros_like(x[0])
     for bit in range(bits - 1, -1, -1):
         for v in x:
             out = out << 1 | ((v ^ fix) >> bit & 1)
     return out
 
 
-def curve_key(ids: np.ndarray, signs: np.ndarray) -> int:
-    """Hilbert key of a document's token ids."""
-    if not len(ids):
-        return 0
-    tokens, counts = np.unique(ids, return_counts=True)
-    z = counts @ signs[tokens] / np.sqrt(np.square(counts.astype(np.float64)).sum())
+def hilbert_index(point: list[int], bits: int = BITS) -> int:
+    return int(hilbert_indices(np.array([point]), bits)[0])
+
+
+def curve_keys(ids: list[bytes], signs: np.ndarray) -> list[int]:
+    """Hilbert key of each document's token ids, the last of which (the end id) counts for nothing; 0 without another."""
+    n = np.array([len(x) // 2 - 1 for x in ids], np.int64)
+    each = np.sort(np.repeat(np.arange(len(ids)) << 16, n) | np.frombuffer(b"".join(x[:-2] for x in ids), "<u2"))
+    first = np.flatnonzero(np.diff(each, prepend=-1))
+    counts, of, signs = np.diff(first, append=len(each)), each[first] >> 16, signs[each[first] & 65535]
+    total = lambda v: np.bincount(of, v, len(ids))
+    norm = np.sqrt(total(np.square(counts.astype(np.float64))))
+    z = np.stack([total(counts * signs[:, d]) for d in range(DIMENSIONS)], axis=1) / np.where(n > 0, norm, 1.0)[:, None]
     grid = 1 << BITS
-    return hilbert_index([min(grid - 1, int(grid * (1 + erf(v / sqrt(2))) / 2)) for v in z.tolist()])
+    points = [[min(grid - 1, int(grid * (1 + erf(v / sqrt(2))) / 2)) for v in row] for row in z.tolist()]
+    return np.where(n > 0, hilbert_indices(np.array(points, np.int64)), 0).tolist() if points else []
 
 
 def _encode_kernel(path: str):
@@ -129,7 +148,7 @@ def _encode_kernel(path: str):
 
         def step(batch: pa.RecordBatch) -> dict:
             ids = encoder.encode(batch.column("text").to_pylist())
-            keys = [curve_key(np.frombuffer(x, "<u2")[:-1], signs) for x in ids]
+            keys = curve_keys(ids, signs)
             n = [len(x) // 2 for x in ids]
             return {"rid": batch.column("rid"), "doc_id": batch.column("doc_id"), "key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64()), "ids": pa.array(ids, pa.binary())}
 

@@ -1,6 +1,7 @@
 """Each operator against brute force, and the cases that must not break it."""
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -441,6 +442,34 @@ def test_packing(docs):
     assert sum(p.length for p in pieces) == sum(len(ids_of(r[1])) for r in rows())
 
 
+def test_packing_remembers_little_and_learns_words_without_the_normalizer(monkeypatch):
+    """A worker outlives its stage, so what it remembers must be small; a whole text's ids are those of the library."""
+    from tokenizers import Tokenizer
+
+    assert packing.CACHE_WORDS <= 200_000
+    path = packing.vocabulary_path(packing.VOCABULARY)
+    library, encoder = Tokenizer.from_file(path), packing.WordEncoder(path)
+    own = random.Random(5)
+    words = ["".join(own.choice("abcéßœ'0,.<|~") for _ in range(own.randint(1, 9))) for _ in range(3000)]
+    texts = [*(" ".join(words[k : k + 30]) for k in range(0, 3000, 30)), *(t for t in TEXTS if t is not None)]
+    monkeypatch.setattr(packing, "SPLIT_TEXTS", 7)
+    got = encoder.encode(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [[*library.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    assert encoder.encode(texts[::-1]) == got[::-1]
+    assert packing.curve_keys(got, packing._signs()) == [_curve_key(np.frombuffer(x, "<u2")[:-1]) for x in got]
+    assert packing.curve_keys([], packing._signs()) == []
+
+
+def _curve_key(ids):
+    """A document at a time."""
+    if not len(ids):
+        return 0
+    tokens, counts = np.unique(ids, return_counts=True)
+    z = counts @ packing._signs()[tokens] / np.sqrt(np.square(counts.astype(np.float64)).sum())
+    grid = 1 << packing.BITS
+    return packing.hilbert_index([min(grid - 1, int(grid * (1 + math.erf(v / math.sqrt(2))) / 2)) for v in z.tolist()])
+
+
 def test_hilbert_is_a_path():
     points = sorted((packing.hilbert_index([x, y, z], 3), (x, y, z)) for x in range(8) for y in range(8) for z in range(8))
     assert [k for k, _ in points] == list(range(512))
