@@ -1,6 +1,7 @@
 """Shared helpers: scratch tables in the cluster's shared folder, and Arrow kernels."""
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import shutil
@@ -108,17 +109,28 @@ def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("string")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers wait beside the executor's heap while other stages run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def run_kernel(kernel: Callable[[], Callable[[pa.RecordBatch], dict]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One task: kernel() once, its result on each part of each batch."""
+    step = kernel()
+    for batch in batches:
+        for part in parts_of(batch):
+            yield pa.RecordBatch.from_pydict(step(part))
+    batch = part = step = None  # before memory is given back
+    give_back()
+
+
 def map_batches(df: DataFrame, kernel: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """Run kernel() once per task; the callable it gives turns each part of an Arrow batch into output columns."""
     ship_package(df.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = kernel()
-        for batch in batches:
-            for part in parts_of(batch):
-                yield pa.RecordBatch.from_pydict(step(part))
-
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: run_kernel(kernel, batches), schema)
 
 
 #: Rows of a key from which join_hot broadcasts what the key is joined with.

@@ -29,7 +29,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Distinct words of a generation whose ids a worker remembers: a worker stays, and so do they, while other stages run.
 CACHE_WORDS = 200_000
 #: Texts that are split at once; their words stand in memory together.
-SPLIT_TEXTS = 250
+SPLIT_TEXTS = 100
 
 # Fixed value: the pieces between which the vocabulary's file splits texts.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

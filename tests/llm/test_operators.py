@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import bpe, components, exact, linededup, nearcopies, packing, pii, quality, simhash, tokencount, toxicity, urlfilter
+from gridloom.llm import bpe, common, components, exact, linededup, nearcopies, packing, pii, quality, simhash, tokencount, toxicity, urlfilter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, __row string, h string"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -422,6 +422,29 @@ def test_sanitise_keeps_rows_and_columns(spark, docs):
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "Mail [EMAIL] now", 16, "x", "y", "z"), (2, None, 6, "x", "y", "z"), (2, "plain", 7, None, None, None)], key=str)
 
 
+def test_tasks_give_memory_back():
+    """What a task has freed must not stay with the worker that waits for the next one."""
+    import pyarrow as pa
+
+    def used():
+        return int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1]) / 1024
+
+    pinned = []
+
+    def kernel():
+        def step(batch):
+            blocks = [bytes(1000) for _ in range(200_000)]
+            pinned.append(blocks[-1])  # keeps the heap's end in use
+            return {"mb": pa.array([used()])}
+
+        return step
+
+    batches = [pa.RecordBatch.from_pydict({"x": [1]})]
+    most = max(b.column("mb")[0].as_py() for b in common.run_kernel(kernel, iter(batches)))
+    assert used() < most - 120
+    assert list(common.run_kernel(kernel, iter([]))) == []
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
